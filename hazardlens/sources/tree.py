@@ -8,15 +8,20 @@ by hash before any content is read, so that one crowded directory does not becom
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from hazardlens.functions.text import normalize_newlines
 
+# Ship this module's code with the job, so that executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LISTING_SCHEMA = "path string, size bigint, reason string"
 BATCH_BYTES = 16 << 20
 SOURCE_EXTENSIONS = (".py",)  # fixed value: what a directory scan picks up
@@ -169,7 +174,7 @@ def decode(contents: DataFrame) -> tuple[DataFrame, DataFrame]:
     valid = F.is_valid_utf8(F.col("content").cast("string"))
     files = contents.where(F.col("reason").isNull() & valid).select(
         "path",
-        F.regexp_extract("path", r"(\.[^./]*)$", 1).alias("ext"),
+        F.regexp_extract("path", r"[^/.][^/]*?(\.[^./]*)$", 1).alias("ext"),
         normalize_newlines(F.col("content").cast("string")).alias("text"),
     )
     rejected = contents.where(F.col("reason").isNotNull() | ~valid).select(
