@@ -57,7 +57,9 @@ _CREDENTIAL_HINTS = ("passw", "pwd", "secret", "api", "token", "credential")
 _CREDENTIAL_STARTS = ("pas", "pwd", "sec", "api", "tok", "cre")
 
 # Open-ended repeats stay on single characters: the JVM runs those in a loop, while a repeated group recurses
-# and can overflow the stack on long input.
+# and can overflow the stack on long input. Repeats are possessive where what follows cannot be part of them, so
+# that a failed attempt is not retried shorter; a call without closing bracket is turned away at once for the
+# same reason.
 RULES: tuple[Rule, ...] = (
     Rule(
         "AWS_KEY",
@@ -67,41 +69,41 @@ RULES: tuple[Rule, ...] = (
     ),
     Rule(
         "HARDCODED_CRED",
-        rf"{CREDENTIAL}{S}*={S}*{NOT_FROM_ENVIRONMENT}"
+        rf"{CREDENTIAL}{S}*+={S}*+{NOT_FROM_ENVIRONMENT}"
         rf"(?:\"[^\"][^\"]+\"|'[^'][^']+'|{BARE_FIRST}[^{SPACE}][^{SPACE}]+)",
         starts=_CREDENTIAL_STARTS,
         needs=(("=",), _CREDENTIAL_HINTS),
     ),
     Rule(
         "PRINT_LEAK",
-        rf"{any_case('print')}{S}*\({S}*(?:[fF]?[\"'][^\n]*?)?{LEAKED}{WORD}*{S}*\)",
+        rf"{any_case('print')}{S}*+\({S}*+(?:[fF]?[\"'][^\n]*?)?{LEAKED}{WORD}*+{S}*+\)",
         starts=("pri",),
         needs=(("(",), ("print",), _CREDENTIAL_HINTS),
     ),
     Rule("IPv4", IPV4, starts=("0",), probe=rf"{DIGIT}\.{DIGIT}"),
     Rule(
         "ENV_REF",
-        rf"{ENVIRONMENT}{S}*[\[(][\"']?{WORD}+[\"']?[\])]",
+        rf"{ENVIRONMENT}{S}*+[\[(][\"']?{WORD}++[\"']?[\])]",
         starts=("os.",),
         needs=(("(", "["), ENVIRONMENT_READS),
     ),
-    Rule("TODO", rf"#{S}*{any_case('todo')}[^\n]*", starts=("#",), needs=(("#",), ("todo",))),
+    Rule("TODO", rf"#{S}*+{any_case('todo')}[^\n]*", starts=("#",), needs=(("#",), ("todo",))),
     Rule("SUSPICIOUS_URL", rf"{any_case('http://')}[^{SPACE}'\"]+", starts=("htt",), needs=(("://",), ("http://",))),
     Rule(
         "LOG_LEAK",
-        rf"{any_case('logging.')}{one_of(*LOG_LEVELS)}{S}*\([^)]*{LEAKED}{WORD}*[^)]*\)",
+        rf"{any_case('logging.')}{one_of(*LOG_LEVELS)}{S}*+\((?=[^)]*+\))[^)]*{LEAKED}[^)]*+\)",
         starts=("log",),
         needs=(("(",), ("logging.",), _CREDENTIAL_HINTS),
     ),
     Rule(
         "DANGEROUS_CALL",
-        rf"{one_of(*DANGEROUS_CALLS)}{S}*\(",
+        rf"{one_of(*DANGEROUS_CALLS)}{S}*+\(",
         starts=("eva", "exe", "pic"),
         needs=(("(",), DANGEROUS_CALLS),
     ),
     Rule(
         "INSECURE_REQUEST",
-        rf"{any_case('verify')}{S}*={S}*{any_case('false')}",
+        rf"{any_case('verify')}{S}*+={S}*+{any_case('false')}",
         starts=("ver",),
         needs=(("=",), ("verify",), ("false",)),
     ),

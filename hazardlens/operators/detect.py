@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,15 +22,22 @@ FINDING = "struct<seq:int,pattern_type:string,value:string,line:int>"
 FINDING_WITH_EXCERPT = "struct<seq:int,pattern_type:string,value:string,line:int,excerpt:string>"
 
 
-def cut_at_matches(files: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def cut_at_matches(
+    files: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    text: str = "text",
+    only: Sequence[str] | None = None,
+) -> DataFrame:
     """Add ``_pieces``: gap, match, gap, ..., match, gap; null where no rule can match. Also ``_sep``.
 
     One pass of the pattern rewrites every match between separators; one split cuts the result. The whole text
-    is one unit because matches may span lines.
+    is one unit because matches may span lines. With ``only``, texts that none of these rules can match are
+    passed over; the others are still cut with all rules, because a match takes its text from other rules.
     """
+    wanted = rules if only is None else tuple(r for r in rules if r.name in only)
     return (
         files.withColumn("_lower", F.lower(text))
-        .withColumn("_sep", F.when(may_match(F.col(text), F.col("_lower"), rules), separator(F.col(text))))
+        .withColumn("_sep", F.when(may_match(F.col(text), F.col("_lower"), wanted), separator(F.col(text))))
         .withColumn(
             "_pieces",
             F.split(
@@ -105,9 +114,15 @@ def detect(
     text: str = "text",
     context_lines: int | None = None,
     keep_pieces: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ``findings``, in order of occurrence; with ``context_lines`` also their excerpts."""
-    out = cut_at_matches(files, rules, text).withColumn("findings", _findings(F.col("_pieces"), rules))
+    """Add ``findings``, in order of occurrence; with ``context_lines`` also their excerpts.
+
+    With ``only``, findings of other rules are left out; ``seq`` still counts all findings of the text.
+    """
+    out = cut_at_matches(files, rules, text, only).withColumn("findings", _findings(F.col("_pieces"), rules))
+    if only is not None:
+        out = out.withColumn("findings", F.filter("findings", lambda f: f["pattern_type"].isin(*only)))
     if context_lines is not None:
         out = out.withColumn("findings", with_excerpts(F.col("findings"), F.col(text), context_lines))
     return out if keep_pieces else out.drop("_pieces", "_sep")

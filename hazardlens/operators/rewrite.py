@@ -36,12 +36,12 @@ REDACTION_MARKER = "# [REDACTED] sensitive output removed"
 
 # A run of blanks before the keyword is taken from its first blank only: a search that starts inside the run can
 # find nothing that the search from its start would not, and would make long runs quadratic.
-_INDENT = rf"((?<!{S}){S}+|)"
+_INDENT = rf"((?<!{S}){S}++|(?<!{S}))"
 _CREDENTIAL_LINE = (
-    rf"{_INDENT}({CREDENTIAL}{WORD}*){S}*={S}*{NOT_FROM_ENVIRONMENT}"
+    rf"{_INDENT}({CREDENTIAL}{WORD}*+){S}*+={S}*+{NOT_FROM_ENVIRONMENT}"
     rf"(?:\"[^\"]*\"|'[^']*'|[^{SPACE}'\"$\{{][^{SPACE}]*)"
 )
-_OUTPUT_CALL = rf"{_INDENT}(?:{any_case('print')}|{any_case('logging.')}{one_of(*LOG_LEVELS)}){S}*\([^\n]*?\)"
+_OUTPUT_CALL = rf"{_INDENT}(?:{any_case('print')}|{any_case('logging.')}{one_of(*LOG_LEVELS)}){S}*+\([^\n]*?\)"
 
 Rewriter = Callable[[Column, Column], Column]
 

@@ -64,7 +64,8 @@ def findings_conversations(spark, sf_dir):
 
 def _rule_query(name: str) -> Query:
     def query(spark, sf_dir):
-        return _long(spark, sf_dir).where(F.col("pattern_type") == name).select("doc_id", "seq", "value", "line")
+        found = d.detect(code_files(spark, sf_dir), only=[name])
+        return d.explode_findings(found, "doc_id").select("doc_id", "seq", "value", "line")
 
     return query
 
@@ -194,7 +195,7 @@ def gate(spark, sf_dir):
 
 
 def gate_violations(spark, sf_dir):
-    return _long(spark, sf_dir).where(n.is_dangerous(F.col("pattern_type")))
+    return d.explode_findings(d.detect(code_files(spark, sf_dir), only=n.DANGEROUS_RULES), "doc_id")
 
 
 def config_pieces(spark, sf_dir):
@@ -285,8 +286,7 @@ def insecure_page_urls(spark, sf_dir):
     """Plain-HTTP page addresses and their secure form."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return (
-        d.explode_findings(d.detect(pages, text="url"), "page_id")
-        .where(F.col("pattern_type") == "SUSPICIOUS_URL")
+        d.explode_findings(d.detect(pages, text="url", only=["SUSPICIOUS_URL"]), "page_id")
         .select("page_id", "value", rw.use_https(F.col("value")).alias("secure"))
     )
 
