@@ -9,6 +9,7 @@ every JDK (the meaning of ``\\b``, ``\\w`` and case folding outside ASCII differ
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ S = f"[{SPACE}]"
 WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 
-# Characters that end a line, besides the pair CR LF.
-LINE_ENDS = r"\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029"
+# Characters that end a line besides the newline; CR LF together is one line end.
+RARE_LINE_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 # Letters outside ASCII that equal an ASCII letter when case is ignored.
 ODD_CASE = {"i": "\u0130\u0131", "k": "\u212a", "s": "\u017f"}
@@ -84,13 +85,29 @@ def _drop_empty_last(parts: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def _has_rare_line_end(text: Column) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in RARE_LINE_ENDS])
+
+
 def split_lines(text: Column, keep_ends: bool = False) -> Column:
-    """The lines of ``text``; a final line end opens no further line."""
+    """The lines of ``text``; a final line end opens no further line.
+
+    Texts with newlines only, nearly all, are cut by plain search; the pattern for every kind of line end looks
+    at each character.
+    """
+    rare = f"[{''.join(RARE_LINE_ENDS)}]".replace("\r", "")
     if keep_ends:
-        cut = rf"(?<=[{LINE_ENDS.replace(chr(92) + 'r', '')}])|(?<=\r)(?!\n)"
+        simple = let(
+            F.split(text, "\n"),
+            lambda parts: F.transform(
+                parts, lambda p, i: F.when(i < F.size(parts) - 1, F.concat(p, F.lit("\n"))).otherwise(p)
+            ),
+        )
+        cut = f"(?<={rare[:-1]}\n])|(?<=\r)(?!\n)"
     else:
-        cut = rf"\r\n|[{LINE_ENDS}]"
-    return let(F.split(text, cut), _drop_empty_last)
+        simple = F.split(text, "\n")
+        cut = f"\r\n|{rare[:-1]}\n\r]"
+    return let(F.when(_has_rare_line_end(text), F.split(text, cut)).otherwise(simple), _drop_empty_last)
 
 
 def scan_array(

@@ -184,13 +184,16 @@ def composite_order(ts: str, tie_breaker: str) -> Column:
     return micros * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col(tie_breaker).cast("decimal(19,0)")
 
 
-def classify_long(df: DataFrame, key: Sequence[str], order: Column, token: str = "token") -> DataFrame:
+def classify_long(
+    df: DataFrame, key: Sequence[str], order: Column, token: str = "token", salts: int = 256
+) -> DataFrame:
     """Classify each key of a long token table with the default table.
 
     ``order`` must be unique within a key. A key turns to violation at its first "hard" token or at the first
-    leak after its first credential, whichever is earlier; the exact state asks whether anything follows. Seven
-    small aggregates answer that, except where three or more leaks surround the first credential and the last
-    token is a leak: only the leaks of those keys are read again, and again reduced before the shuffle.
+    leak after its first credential, whichever is earlier; the exact state asks whether anything follows. A few
+    aggregates answer that, except where three or more leaks surround the first credential and the last token is
+    a leak: only the leaks of those keys are read again. They meet their key's credential in ``salts`` places, so
+    that a key with most of the leaks is counted by as many tasks.
     """
     key = list(key)
 
@@ -198,8 +201,9 @@ def classify_long(df: DataFrame, key: Sequence[str], order: Column, token: str =
         return F.col(token).isin(*TOKEN_CLASSES[name])
 
     known = F.col(token).isin(*DEFAULT_TABLE.alphabet)
-    rows = df.select(*key, token, order.alias("_pos"))
-    facts = rows.groupBy(*key).agg(
+    # One struct as key: equal to itself also where a key column is null.
+    rows = df.select(F.struct(*key).alias("_key"), token, order.alias("_pos"))
+    facts = rows.groupBy("_key").agg(
         F.min(F.when(is_class("cred"), F.col("_pos"))).alias("_cred"),
         F.min(F.when(is_class("hard"), F.col("_pos"))).alias("_hard"),
         F.min(F.when(is_class("leak"), F.col("_pos"))).alias("_leak_first"),
@@ -217,12 +221,23 @@ def classify_long(df: DataFrame, key: Sequence[str], order: Column, token: str =
         & (F.col("_leak_last") == last)
         & (F.col("_leaks") >= 3)
         & (F.col("_leak_first") < cred)
+        # Implied by the above; with every aggregate in use, both readers of the facts share one shuffle.
+        & (F.col("_not_env") >= 4)
+        & (F.col("n_tokens") >= 4)
     )
     again = (
         rows.where(is_class("leak"))
-        .join(facts.where(unclear).select(*key, "_cred"), key)
-        .groupBy(*key)
-        .agg((F.count_if(F.col("_pos") > cred) > 1).alias("_more_leaks"))
+        .select("_key", "_pos", F.pmod(F.xxhash64("_pos"), F.lit(salts)).cast("int").alias("_salt"))
+        .join(
+            facts.where(unclear).select(
+                "_key", "_cred", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+            ),
+            ["_key", "_salt"],
+        )
+        .groupBy("_key", "_salt")
+        .agg(F.count_if(F.col("_pos") > cred).alias("_n"))
+        .groupBy("_key")
+        .agg((F.sum("_n") > 1).alias("_more_leaks"))
     )
     more_leaks = (
         F.when(F.col("_leak_first") > cred, F.col("_leaks") > 1)
@@ -245,8 +260,8 @@ def classify_long(df: DataFrame, key: Sequence[str], order: Column, token: str =
     )
     parts = DEFAULT_TABLE.result(F.col("_state"), F.lit(False))
     return (
-        facts.join(again, key, "left")
-        .select(*key, "n_tokens", state.alias("_state"))
+        facts.join(again, "_key", "left")
+        .select("_key.*", "n_tokens", state.alias("_state"))
         .select(*key, "n_tokens", *(parts[c].alias(c) for c in ("label", "final_state", "message")))
     )
 

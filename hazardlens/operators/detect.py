@@ -113,7 +113,6 @@ def detect(
     rules: tuple[Rule, ...] = RULES,
     text: str = "text",
     context_lines: int | None = None,
-    keep_pieces: bool = False,
     only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``findings``, in order of occurrence; with ``context_lines`` also their excerpts.
@@ -125,7 +124,7 @@ def detect(
         out = out.withColumn("findings", F.filter("findings", lambda f: f["pattern_type"].isin(*only)))
     if context_lines is not None:
         out = out.withColumn("findings", with_excerpts(F.col("findings"), F.col(text), context_lines))
-    return out if keep_pieces else out.drop("_pieces", "_sep")
+    return out.drop("_pieces", "_sep")
 
 
 def explode_findings(detected: DataFrame, *keep: str) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.functions.rules import CREDENTIAL, IPV4, LOG_LEVELS, NOT_FROM_ENVIRONMENT, RULES, Rule
-from hazardlens.functions.text import SPACE, WORD, S, any_case, let, one_of, split_lines, strip
-from hazardlens.operators.detect import cut_at_matches, detect, rule_index
+from hazardlens.functions.text import SPACE, WORD, S, any_case, let, one_of, separator, split_lines, strip
+from hazardlens.operators.detect import detect
 
 # ---- fixed values: actions, their priority, and what each token asks for --------------------------------------
 ACTION_PRIORITY = ("ENFORCE_SSL", "REWRITE_CRED", "USE_HTTPS", "REMOVE_LEAK", "FLAG_IP", "PASSTHROUGH")
@@ -106,19 +106,27 @@ def _code(rule_number: int) -> str:
     return chr(ord("A") + rule_number)
 
 
-def _findings_per_line(pieces: Column, rules: tuple[Rule, ...]) -> Column:
-    """For each line (cut at newlines) one letter per finding that starts there, in order.
+def _findings_per_line(findings: Column, rules: tuple[Rule, ...]) -> Column:
+    """For each line up to the last with a finding, one letter per finding that starts there, in order.
 
-    Everything but newlines and one letter per match is dropped from the pieces; joined and cut at the newlines,
-    the position of an element is its line. Linear in the text.
+    A string of as many newlines as lie between the findings and a letter per finding, cut at the newlines: the
+    position of an element is its line. Linear, where looking up the findings of each line would not be.
     """
+    names = F.lit([r.name for r in rules])
     codes = F.lit([_code(k) for k in range(len(rules))])
 
-    def outline(piece: Column, i: Column) -> Column:
-        newlines = F.regexp_replace(piece, F.lit("[^\n]+"), F.lit(""))
-        return F.when(i % 2 == 1, F.concat(F.get(codes, rule_index(piece)), newlines)).otherwise(newlines)
+    def outline(found: Column) -> Column:
+        before = F.concat(F.array(F.lit(1)), F.transform(found, lambda f: f["line"]))
+        return F.zip_with(
+            found,
+            before,
+            lambda f, previous: F.concat(
+                F.repeat(F.lit("\n"), f["line"] - previous),
+                F.element_at(codes, F.array_position(names, f["pattern_type"]).cast("int")),
+            ),
+        )
 
-    return F.split(F.array_join(F.transform(pieces, outline), ""), "\n")
+    return F.split(F.array_join(let(findings, outline), ""), "\n")
 
 
 def _apply(line: Column, codes: Column, sep: Column, rules: tuple[Rule, ...], rewriters, actions) -> Column:
@@ -150,7 +158,7 @@ def rewrite(
     A change carries the action and token of its line's first finding, even if a later one made the change.
     """
     rewriters = dict(rewriters)
-    found = detect(files, rules, text, context_lines, keep_pieces=True)
+    found = detect(files, rules, text, context_lines)
     names = F.lit([r.name for r in rules])
     chosen = F.lit([pick_action(r.name, actions) for r in rules])
 
@@ -170,8 +178,8 @@ def rewrite(
 
     row = F.struct(
         split_lines(F.col(text), keep_ends=True).alias("lines"),
-        _findings_per_line(F.col("_pieces"), rules).alias("codes"),
-        F.col("_sep").alias("sep"),
+        _findings_per_line(F.col("findings"), rules).alias("codes"),
+        separator(F.col(text)).alias("sep"),
     )
     without_end = lambda line: F.rtrim(line, F.lit("\n"))
 
@@ -208,20 +216,19 @@ def rewrite(
         .withColumn("has_changes", F.size("rewrites") > 0)
         .withColumn("language", F.lit(LANGUAGE))
     )
-    return out.drop("_pieces", "_sep", "_lines")
+    return out.drop("_lines")
 
 
 def line_actions(
-    files: DataFrame,
+    detected: DataFrame,
     *keep: str,
     rules: tuple[Rule, ...] = RULES,
-    text: str = "text",
     actions: Mapping[str, tuple[str, ...]] = TOKEN_ACTIONS,
 ) -> DataFrame:
     """One row per line with findings: ``line`` and its ``actions`` in order of the findings."""
     chosen = F.lit([pick_action(r.name, actions) for r in rules])
     numbered = F.transform(
-        _findings_per_line(F.col("_pieces"), rules),
+        _findings_per_line(F.col("findings"), rules),
         lambda codes, i: F.struct((i + 1).cast("int").alias("line"), codes.alias("codes")),
     )
     lines = F.transform(
@@ -231,11 +238,7 @@ def line_actions(
             F.transform(F.split(x["codes"], ""), lambda c: F.get(chosen, F.ascii(c) - ord("A"))).alias("actions"),
         ),
     )
-    return (
-        cut_at_matches(files, rules, text)
-        .select(*keep, F.inline_outer(lines))
-        .where(F.col("line").isNotNull())
-    )
+    return detected.select(*keep, F.inline_outer(lines)).where(F.col("line").isNotNull())
 
 
 # Reason codes and texts of the suggestions; callers may pass their own.

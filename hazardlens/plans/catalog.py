@@ -153,7 +153,7 @@ def token_actions(spark, sf_dir):
 
 
 def line_actions(spark, sf_dir):
-    return rw.line_actions(code_files(spark, sf_dir), "doc_id").select(
+    return rw.line_actions(_found(spark, sf_dir), "doc_id").select(
         "doc_id", "line", F.array_join("actions", ",").alias("actions")
     )
 
