@@ -14,7 +14,7 @@ from hazardlens.operators.counts import corpus_summary, counts_by, counts_by_fil
 from hazardlens.operators.detect import detect, explode_findings, tokens
 from hazardlens.operators.report import listing, report_json, report_text, write_report_json
 from hazardlens.operators.rewrite import line_actions, rewrite, suggestions
-from hazardlens.plans.pipeline import analyze
+from hazardlens.plans.pipeline import analyze, audit_tree
 from hazardlens.sources.tree import read_tree
 
 __all__ = [
@@ -23,6 +23,7 @@ __all__ = [
     "Rule",
     "TransitionTable",
     "analyze",
+    "audit_tree",
     "classify",
     "classify_long",
     "classify_long_runs",

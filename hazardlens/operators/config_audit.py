@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.functions.text import DIGIT, FIELD, WORD, is_blank, let, scan_array, separator
+from hazardlens.functions.text import DIGIT, FIELD, WORD, count_newlines, is_blank, let, scan_array, separator
 
 # ---- fixed values: keys that may not hold literals, and result texts ------------------------------------------
 SENSITIVE_KEYS = (
@@ -206,46 +206,52 @@ def _key_error(piece: Column) -> Column:
     )
 
 
-def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Column:
-    """struct(is_valid, sections_found, n_errors, message, errors) of one configuration text."""
+def _result(is_valid: Column, sections: Column, message: Column, errors: Column) -> Column:
+    return F.struct(
+        is_valid.alias("is_valid"),
+        sections.alias("sections_found"),
+        F.size(errors).alias("n_errors"),
+        message.alias("message"),
+        errors.cast(f"array<{ERROR}>").alias("errors"),
+    )
+
+
+def _one_error(message: Column, line: Column, column: Column) -> Column:
+    return F.array(F.struct(message.alias("message"), line.alias("line"), column.alias("column")))
 
-    def result(is_valid: Column, sections: Column, message: Column, errors: Column) -> Column:
-        return F.struct(
-            is_valid.alias("is_valid"),
-            sections.alias("sections_found"),
-            F.size(errors).alias("n_errors"),
-            message.alias("message"),
-            errors.cast(f"array<{ERROR}>").alias("errors"),
-        )
 
-    empty = result(
-        F.lit(False),
-        F.lit(0),
-        F.lit(EMPTY_MESSAGE),
-        F.array(F.struct(F.lit(EMPTY_ERROR).alias("message"), F.lit(1).alias("line"), F.lit(1).alias("column"))),
+def missing_file(path: Column) -> Column:
+    """The audit of a file that is not there."""
+    message = F.concat(F.lit(MISSING_MESSAGE), path)
+    return _result(F.lit(False), F.lit(0), message, _one_error(message, F.lit(0), F.lit(0)))
+
+
+def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Column:
+    """struct(is_valid, sections_found, n_errors, message, errors) of one configuration text."""
+    empty = _result(
+        F.lit(False), F.lit(0), F.lit(EMPTY_MESSAGE), _one_error(F.lit(EMPTY_ERROR), F.lit(1), F.lit(1))
     )
 
     def malformed(at: Column) -> Column:
         before = F.substring(text, F.lit(1), at)
-        line = F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1
-        column = F.length(F.substring_index(before, "\n", -1)) + 1
 
         def describe(p: Column) -> Column:
             message = F.format_string("Syntax error at line %d, col %d", p["line"], p["column"])
-            return result(
-                F.lit(False),
-                F.lit(0),
-                message,
-                F.array(F.struct(message.alias("message"), p["line"].alias("line"), p["column"].alias("column"))),
-            )
+            return _result(F.lit(False), F.lit(0), message, _one_error(message, p["line"], p["column"]))
 
-        return let(F.struct(line.alias("line"), column.alias("column")), describe)
+        return let(
+            F.struct(
+                (count_newlines(before) + 1).alias("line"),
+                (F.length(F.substring_index(before, "\n", -1)) + 1).alias("column"),
+            ),
+            describe,
+        )
 
     def well_formed(pieces: Column, sections: Column) -> Column:
         errors = F.transform(F.filter(pieces, lambda p: is_insecure(p, sensitive_keys)), _key_error)
         return let(
             errors,
-            lambda e: result(
+            lambda e: _result(
                 F.size(e) == 0,
                 sections,
                 F.when(F.size(e) > 0, F.format_string("Found %d insecure key(s)", F.size(e))).otherwise(

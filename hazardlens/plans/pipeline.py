@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.functions.rules import RULES, Rule
 from hazardlens.operators.classify import DEFAULT_TABLE, TransitionTable, classification
-from hazardlens.operators.config_audit import audit
+from hazardlens.operators.config_audit import audit, config_audit, missing_file
 from hazardlens.operators.counts import summary_map
 from hazardlens.operators.detect import tokens
 from hazardlens.operators.rewrite import rewrite
+from hazardlens.sources.tree import read_tree
 
 AUDITED_SUFFIX = ".conf"
 NOT_AUDITED = "Validation applies to .conf files only"
@@ -71,3 +72,10 @@ def analyze(
             .alias("validation"),
         )
     )
+
+
+def audit_tree(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Audit of the configuration files under a path; a missing path is an invalid result, not an error."""
+    files, rejected = read_tree(spark, path, recursive, (AUDITED_SUFFIX,))
+    missing = rejected.where(F.col("reason") == "not_found").select("path", missing_file(F.col("path")).alias("_a"))
+    return config_audit(files, "path").unionByName(missing.select("path", "_a.*"))

@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LISTING_SCHEMA = "path string, size bigint, reason string"
 BATCH_BYTES = 16 << 20
+MAX_FILE_BYTES = (1 << 31) - (1 << 20)  # what a binary value of a row can hold
 SOURCE_EXTENSIONS = (".py",)  # fixed value: what a directory scan picks up
 
 
@@ -134,6 +135,10 @@ def list_tree(
 _READ_SCHEMA = pa.schema([("path", pa.string()), ("content", pa.binary()), ("reason", pa.string())])
 
 
+def _content_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([dict(zip(_READ_SCHEMA.names, r)) for r in rows], _READ_SCHEMA)
+
+
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Content of the listed paths, in batches of limited size."""
     rows: list[tuple] = []
@@ -143,6 +148,11 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             content = None
             if reason is None:
                 try:
+                    if os.path.getsize(path) > MAX_FILE_BYTES:
+                        raise OSError(0, "larger than a row can hold")
+                    if held and held + os.path.getsize(path) > BATCH_BYTES:
+                        yield _content_batch(rows)
+                        rows, held = [], 0
                     with open(path, "rb") as f:
                         content = f.read()
                 except FileNotFoundError:
@@ -152,10 +162,10 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows.append((path, content, reason))
             held += len(content or b"")
             if held >= BATCH_BYTES:
-                yield pa.RecordBatch.from_pylist([dict(zip(_READ_SCHEMA.names, r)) for r in rows], _READ_SCHEMA)
+                yield _content_batch(rows)
                 rows, held = [], 0
     if rows:
-        yield pa.RecordBatch.from_pylist([dict(zip(_READ_SCHEMA.names, r)) for r in rows], _READ_SCHEMA)
+        yield _content_batch(rows)
 
 
 def read_listed(listing: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -190,5 +200,9 @@ def read_tree(
     extensions: tuple[str, ...] = SOURCE_EXTENSIONS,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``files`` and ``rejected_files`` under a path; a file path is read whatever its extension."""
+    """``files`` and ``rejected_files`` under a path; a file path is read whatever its extension.
+
+    Both come from the same reading: where both are used, write one out first or persist ``read_listed`` and
+    call ``decode``.
+    """
     return decode(read_listed(list_tree(spark, path, recursive, extensions), partitions))

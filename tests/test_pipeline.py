@@ -5,7 +5,7 @@ import checker
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlens import analyze, listing, read_tree, report_json, report_text, write_report_json
+from hazardlens import analyze, audit_tree, listing, read_tree, report_json, report_text, write_report_json
 from hazardlens.operators.counts import corpus_summary, counts_by_file, gate
 from hazardlens.operators.detect import detect
 from hazardlens.sources.tree import list_tree
@@ -82,6 +82,14 @@ def test_single_file_and_missing_path(spark, tree):
     assert [(os.path.basename(r.path), r.reason) for r in rejected.collect()] == [("nothing", "not_found")]
 
 
+def test_audit_tree(spark, tree):
+    (row,) = audit_tree(spark, tree).collect()
+    assert (os.path.basename(row.path), row.message) == ("db.conf", "Found 1 insecure key(s)")
+    (row,) = audit_tree(spark, f"{tree}/none.conf").collect()
+    assert (row.is_valid, row.sections_found, row.message) == (False, 0, f"File not found: {tree}/none.conf")
+    assert [tuple(e) for e in row.errors] == [(row.message, 0, 0)]
+
+
 def test_nothing_to_scan(spark, tree):
     files, rejected = read_tree(spark, f"{tree}/sub")
     assert (files.count(), rejected.count()) == (0, 0)
