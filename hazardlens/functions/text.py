@@ -49,6 +49,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often ``body`` uses it.
 
     Without this, the optimizer may move the expression behind ``value`` into a lambda and run it per element.
+    The result is copied, so this is not for the accumulator of a fold.
     """
     return F.transform(F.array(value), body)[0]
 
@@ -110,6 +111,14 @@ def split_lines(text: Column, keep_ends: bool = False) -> Column:
     return let(F.when(_has_rare_line_end(text), F.split(text, cut)).otherwise(simple), _drop_empty_last)
 
 
+def part(items: Column, first: Column, last: Column) -> Column:
+    """Elements ``first`` to ``last`` (1-based, both included, first <= last) of an array that is at hand.
+
+    Unlike ``slice``, which copies the whole array each time, this costs only what it returns.
+    """
+    return F.transform(F.sequence(first, last), lambda k: F.get(items, k - 1))
+
+
 def scan_array(
     items: Column,
     zero: Column,
@@ -124,9 +133,9 @@ def scan_array(
     are collected block by block: appending to one growing array would copy it once per item.
     """
 
-    def fold_block(state: Column, part: Column) -> Column:
+    def fold_block(state: Column, some: Column) -> Column:
         return F.aggregate(
-            part,
+            some,
             F.struct(state.alias("state"), F.array().cast(f"array<{emitted_type}>").alias("out")),
             lambda acc, x: F.struct(
                 step(acc["state"], x).alias("state"),
@@ -136,16 +145,21 @@ def scan_array(
 
     def over(all_items: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(all_items), F.lit(block))
+        nothing = F.struct(zero.alias("state"), F.array().cast(f"array<{emitted_type}>").alias("out"))
+        # One (state, out) per block; the last one's state opens the next block.
         return F.aggregate(
             starts,
-            F.struct(zero.alias("state"), F.array().cast(f"array<array<{emitted_type}>>").alias("outs")),
-            lambda acc, start: let(
-                fold_block(acc["state"], F.slice(all_items, start, F.lit(block))),
-                lambda done: F.struct(
-                    done["state"].alias("state"), F.concat(acc["outs"], F.array(done["out"])).alias("outs")
+            F.array(nothing),
+            lambda done, start: F.concat(
+                done,
+                F.array(
+                    fold_block(
+                        F.element_at(done, -1)["state"],
+                        part(all_items, start, F.least(start + (block - 1), F.size(all_items))),
+                    )
                 ),
             ),
-            lambda acc: F.flatten(acc["outs"]),
+            lambda done: F.flatten(F.transform(done, lambda d: d["out"])),
         )
 
     return let(

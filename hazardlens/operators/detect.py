@@ -84,12 +84,12 @@ def with_excerpts(findings: Column, text: Column, context_lines: int = 2) -> Col
 
     def excerpt(lines: Column, line: Column) -> Column:
         first = F.greatest(F.lit(1), line - context_lines)
-        length = F.greatest(F.lit(0), F.least(F.size(lines), line + context_lines) - first + 1)
-        shown = F.slice(lines, first, length)
-        return F.array_join(
-            F.transform(shown, lambda x, i: F.format_string("  %3d | %s", first + i, x)),
-            "\n",
+        last = F.least(F.size(lines), line + context_lines)
+        shown = F.transform(
+            F.sequence(first, last), lambda k: F.format_string("  %3d | %s", k, F.get(lines, k - 1))
         )
+        # Line numbers count newlines only, of which there are never more than line ends of all kinds.
+        return F.array_join(shown, "\n")
 
     both = F.struct(findings.alias("findings"), split_lines(text).alias("lines"))
     shown = let(

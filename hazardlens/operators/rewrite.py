@@ -130,7 +130,11 @@ def _findings_per_line(findings: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def _apply(line: Column, codes: Column, sep: Column, rules: tuple[Rule, ...], rewriters, actions) -> Column:
-    """Apply the actions of the line's findings one after the other."""
+    """Apply the actions of the line's findings one after the other.
+
+    A rewriter that left the line as it is need not run again until another one changes the line; so a long line
+    with thousands of findings is rewritten a few times, not thousands of times.
+    """
     by_action: dict[str, list[str]] = {}
     for k, rule in enumerate(rules):
         by_action.setdefault(pick_action(rule.name, actions), []).append(_code(k))
@@ -142,7 +146,19 @@ def _apply(line: Column, codes: Column, sep: Column, rules: tuple[Rule, ...], re
                 out = out.when(code.isin(*letters), rewriters[action](current, sep))
         return out.otherwise(current)
 
-    return F.aggregate(F.split(codes, ""), line, one)
+    def state(text: Column, settled: Column) -> Column:
+        return F.struct(text.alias("line"), settled.alias("settled"))
+
+    def step(s: Column, code: Column) -> Column:
+        applied = let(
+            one(s["line"], code),
+            lambda new: state(
+                new, F.when(new == s["line"], F.concat(s["settled"], code)).otherwise(F.lit(""))
+            ),
+        )
+        return F.when(F.contains(s["settled"], code), s).otherwise(applied)
+
+    return F.aggregate(F.split(codes, ""), state(line, F.lit("")), step, lambda s: s["line"])
 
 
 def rewrite(
