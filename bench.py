@@ -1,6 +1,7 @@
 """Time the headline queries: one JSON line on stdout.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES (comma-separated names).
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES (comma-separated names),
+BENCH_RUNS (default 2; the faster run counts, the first also compiles).
 """
 
 from __future__ import annotations
@@ -46,9 +47,10 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
     spark = session(int(os.environ.get("BENCH_CPUS", "8")))
     run(spark, "label_by_source", os.path.join(os.path.dirname(sf_dir), "sf0.001"))  # start-up is not measured
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     times = {}
     for name in names:
-        times[name] = round(run(spark, name, sf_dir), 3)
+        times[name] = round(min(run(spark, name, sf_dir) for _ in range(runs)), 3)
         print(name, times[name], file=sys.stderr, flush=True)
     print(
         json.dumps(

@@ -28,6 +28,10 @@ SENSITIVE_KEYS = (
 EMPTY_ERROR = "Empty configuration"
 EMPTY_MESSAGE = "Configuration is empty"
 MISSING_MESSAGE = "File not found: "
+KEY_ERROR = "Sensitive key '%s' must use env var reference (${...}), got literal value instead"
+SYNTAX_MESSAGE = "Syntax error at line %d, col %d"
+INSECURE_MESSAGE = "Found %d insecure key(s)"
+VALID_MESSAGE = "Valid configuration with %d section(s)"
 # ---- end of fixed values --------------------------------------------------------------------------------------
 
 _B = r"[ \t\n\r]*"
@@ -195,11 +199,7 @@ def is_insecure(piece: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -
 
 def _key_error(piece: Column) -> Column:
     return F.struct(
-        F.concat(
-            F.lit("Sensitive key '"),
-            piece["key"],
-            F.lit("' must use env var reference (${...}), got literal value instead"),
-        ).alias("message"),
+        F.format_string(KEY_ERROR, piece["key"]).alias("message"),
         # The offset of the assignment, not a line number; kept under this name for compatibility.
         piece["char_offset"].alias("line"),
         F.lit(0).alias("column"),
@@ -236,7 +236,7 @@ def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Colum
         before = F.substring(text, F.lit(1), at)
 
         def describe(p: Column) -> Column:
-            message = F.format_string("Syntax error at line %d, col %d", p["line"], p["column"])
+            message = F.format_string(SYNTAX_MESSAGE, p["line"], p["column"])
             return _result(F.lit(False), F.lit(0), message, _one_error(message, p["line"], p["column"]))
 
         return let(
@@ -254,8 +254,8 @@ def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Colum
             lambda e: _result(
                 F.size(e) == 0,
                 sections,
-                F.when(F.size(e) > 0, F.format_string("Found %d insecure key(s)", F.size(e))).otherwise(
-                    F.format_string("Valid configuration with %d section(s)", sections)
+                F.when(F.size(e) > 0, F.format_string(INSECURE_MESSAGE, F.size(e))).otherwise(
+                    F.format_string(VALID_MESSAGE, sections)
                 ),
                 e,
             ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,10 @@ TOKEN_ACTIONS = {
 
 HOST_PLACEHOLDER = "<HOST_PLACEHOLDER>"
 LANGUAGE = "python"
+ENVIRONMENT_CALL = ('os.getenv("', '")')
+AWS_VARIABLE = "AWS_ACCESS_KEY_ID"
+HOST_VARIABLE = "SERVER_HOST"
+TLS_ON = "verify=True"
 # ---- end of fixed values --------------------------------------------------------------------------------------
 
 REDACTION_MARKER = "# [REDACTED] sensitive output removed"
@@ -55,9 +60,9 @@ def rewrite_cred(line: Column, sep: Column) -> Column:
 
     ``sep`` is a string that does not occur in the line; the name between two of them is upper-cased.
     """
-    fenced = F.regexp_replace(
-        line, F.lit(_CREDENTIAL_LINE), F.concat(F.lit('$1$2 = os.getenv("'), sep, F.lit("$2"), sep, F.lit('")'))
-    )
+    opening, closing = ENVIRONMENT_CALL
+    replacement = F.concat(F.lit(f"$1$2 = {opening}"), sep, F.lit("$2"), sep, F.lit(closing))
+    fenced = F.regexp_replace(line, F.lit(_CREDENTIAL_LINE), replacement)
     parts = F.transform(
         F.split(fenced, sep), lambda p, i: F.when(i % 2 == 1, environment_name(p)).otherwise(p)
     )
@@ -78,7 +83,7 @@ def use_https(line: Column, sep: Column | None = None) -> Column:
 
 
 def enforce_tls(line: Column, sep: Column | None = None) -> Column:
-    return F.regexp_replace(line, F.lit(rf"verify{S}*={S}*False"), F.lit("verify=True"))
+    return F.regexp_replace(line, F.lit(rf"verify{S}*={S}*False"), F.lit(TLS_ON))
 
 
 REWRITERS: dict[str, Rewriter] = {
@@ -168,12 +173,16 @@ def rewrite(
     rewriters: Mapping[str, Rewriter] = REWRITERS,
     actions: Mapping[str, tuple[str, ...]] = TOKEN_ACTIONS,
     context_lines: int | None = None,
+    redaction_marker: str | None = None,
 ) -> DataFrame:
     """Add ``findings``, ``rewrites`` (one per changed line), ``has_changes``, ``transformed_text``, ``language``.
 
     A change carries the action and token of its line's first finding, even if a later one made the change.
+    ``redaction_marker`` is the comment put in place of removed output.
     """
     rewriters = dict(rewriters)
+    if redaction_marker is not None:
+        rewriters["REMOVE_LEAK"] = partial(remove_leak, marker=redaction_marker)
     found = detect(files, rules, text, context_lines)
     names = F.lit([r.name for r in rules])
     chosen = F.lit([pick_action(r.name, actions) for r in rules])
@@ -281,16 +290,17 @@ def suggestions(
     """A proposal per finding (one row per finding in, kinds without a proposal dropped)."""
     kind, value = F.col("pattern_type"), F.col("value")
     variable = strip(F.substring_index(value, "=", 1))
+
+    def from_environment(name: Column) -> Column:
+        return F.concat(F.lit(ENVIRONMENT_CALL[0]), name, F.lit(ENVIRONMENT_CALL[1]))
+
     after = (
-        F.when(
-            kind == "HARDCODED_CRED",
-            F.concat(variable, F.lit(' = os.getenv("'), F.upper(variable), F.lit('")')),
-        )
-        .when(kind == "AWS_KEY", 'os.getenv("AWS_ACCESS_KEY_ID")')
+        F.when(kind == "HARDCODED_CRED", F.concat(variable, F.lit(" = "), from_environment(F.upper(variable))))
+        .when(kind == "AWS_KEY", from_environment(F.lit(AWS_VARIABLE)))
         .when(kind.isin("PRINT_LEAK", "LOG_LEAK"), removed_note)
-        .when(kind == "IPv4", 'os.getenv("SERVER_HOST")')
+        .when(kind == "IPv4", from_environment(F.lit(HOST_VARIABLE)))
         .when(kind == "SUSPICIOUS_URL", use_https(value))
-        .when(kind == "INSECURE_REQUEST", "verify=True")
+        .when(kind == "INSECURE_REQUEST", TLS_ON)
         .when(kind == "DANGEROUS_CALL", F.concat(F.lit(danger_note), value))
     )
     reason = F.when(F.lit(False), "")

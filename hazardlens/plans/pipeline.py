@@ -13,7 +13,12 @@ from hazardlens.operators.detect import tokens
 from hazardlens.operators.rewrite import rewrite
 from hazardlens.sources.tree import read_tree
 
+# ---- fixed values: texts of the report ------------------------------------------------------------------------
 AUDITED_SUFFIX = ".conf"
+PASS, FAIL, SKIPPED = "PASS", "FAIL", "N/A"
+AUDIT_ERROR = "CFG_ERROR"
+ACTION_REASON = "Action: "
+# ---- end of fixed values --------------------------------------------------------------------------------------
 NOT_AUDITED = "Validation applies to .conf files only"
 VALIDATION = "struct<status:string,message:string,violations:array<struct<line:int,type:string,value:string>>>"
 
@@ -25,20 +30,24 @@ def analyze(
     rules: tuple[Rule, ...] = RULES,
     table: TransitionTable = DEFAULT_TABLE,
     context_lines: int = 2,
+    **rewrite_options,
 ) -> DataFrame:
-    """One report row per file: findings, counts, label, rewritten text and, for config files, the audit."""
+    """One report row per file: findings, counts, label, rewritten text and, for config files, the audit.
+
+    ``rewrite_options`` go to ``rewrite``: ``rewriters``, ``actions``, ``redaction_marker``.
+    """
     checked = F.struct(
-        F.when(F.col("_audit.is_valid"), "PASS").otherwise("FAIL").alias("status"),
+        F.when(F.col("_audit.is_valid"), PASS).otherwise(FAIL).alias("status"),
         F.col("_audit.message").alias("message"),
         F.transform(
             "_audit.errors",
             lambda e: F.struct(
-                e["line"].alias("line"), F.lit("CFG_ERROR").alias("type"), e["message"].alias("value")
+                e["line"].alias("line"), F.lit(AUDIT_ERROR).alias("type"), e["message"].alias("value")
             ),
         ).alias("violations"),
     )
     skipped = F.struct(
-        F.lit("N/A").alias("status"), F.lit(NOT_AUDITED).alias("message"), F.lit(None).alias("violations")
+        F.lit(SKIPPED).alias("status"), F.lit(NOT_AUDITED).alias("message"), F.lit(None).alias("violations")
     )
     transformations = F.transform(
         "rewrites",
@@ -46,11 +55,11 @@ def analyze(
             r["line_number"].alias("line"),
             r["original_line"].alias("before"),
             r["transformed_line"].alias("after"),
-            F.concat(F.lit("Action: "), r["action"]).alias("reason"),
+            F.concat(F.lit(ACTION_REASON), r["action"]).alias("reason"),
         ),
     )
     return (
-        rewrite(files, rules, text, context_lines=context_lines)
+        rewrite(files, rules, text, context_lines=context_lines, **rewrite_options)
         .withColumn("tokens", tokens(F.col("findings")))
         .withColumn("_class", classification(F.col("tokens"), table))
         .withColumn("_audit", F.when(F.endswith(F.col(path), F.lit(AUDITED_SUFFIX)), audit(F.col(text))))
