@@ -169,9 +169,15 @@ changes AS (SELECT {keys}, line AS line_number, before AS original_line, after A
   actions[1] AS action, kinds[1] AS token_type FROM applied WHERE before <> after)"""
 
 
-_LINES = """lines AS (SELECT doc_id, CAST(i AS INTEGER) AS line, l[i] AS text FROM (
-  SELECT doc_id, l, unnest(range(1, len(l) + 1 - CASE WHEN l[len(l)] = '' THEN 1 ELSE 0 END)) AS i FROM (
-    SELECT doc_id, string_split(text, chr(10)) AS l FROM files)))"""
+def _lines(key: str = "doc_id") -> str:
+    """CTEs ``lines`` (key, line, text) and ``excerpts`` (key, seq, excerpt)."""
+    return f"""
+lines AS (SELECT {key}, CAST(i AS INTEGER) AS line, l[i] AS text FROM (
+  SELECT {key}, l, unnest(range(1, len(l) + 1 - CASE WHEN l[len(l)] = '' THEN 1 ELSE 0 END)) AS i FROM (
+    SELECT {key}, string_split(text, chr(10)) AS l FROM files))),
+excerpts AS (SELECT {key}, seq, string_agg(printf('  %3d | %s', l.line, l.text), chr(10) ORDER BY l.line) AS excerpt
+  FROM findings f JOIN lines l USING ({key}) WHERE l.line BETWEEN f.line - 2 AND f.line + 2 GROUP BY {key}, seq)"""
+
 
 _CONFIG_GROUPS = ", ".join(f"regexp_extract_all(text, {_q(_CONFIG)}, {k}) AS g{k}" for k in range(9))
 
@@ -225,6 +231,17 @@ audit AS (SELECT {key}, NOT blank AND well_formed AND coalesce(n, 0) = 0 AS is_v
     LEFT JOIN (SELECT {key}, count(*) AS n FROM insecure GROUP BY {key}) USING ({key}))"""
 
 
+def _issues(key: str) -> str:
+    """CTE ``issues`` (key, error_no, message, line, column)."""
+    return f"""
+issues AS (SELECT {key}, CAST(row_number() OVER (PARTITION BY {key} ORDER BY pos) - 1 AS INTEGER) AS error_no,
+  'Sensitive key \'\'' || key || '\'\' must use env var reference (${{...}}), got literal value instead' AS message,
+  char_offset AS line, CAST(0 AS INTEGER) AS column FROM insecure
+UNION ALL SELECT {key}, 0, CASE WHEN blank THEN 'Empty configuration' ELSE message END,
+  CAST(CASE WHEN blank THEN 1 ELSE line END AS INTEGER), CAST(CASE WHEN blank THEN 1 ELSE col END AS INTEGER)
+  FROM audit WHERE blank OR NOT well_formed)"""
+
+
 _CONFIGS = "WITH " + _pieces(CONFIG_FILES_SQL, "c_custkey")
 
 # Section paths by walking the pieces of a text one after the other.
@@ -268,6 +285,17 @@ _ALL_FILES = (
     f"SELECT path AS file, text FROM ({CODE_FILES_SQL}) UNION ALL SELECT path AS file, text FROM ({CONFIG_FILES_SQL})"
 )
 
+_REPORT = (
+    "WITH "
+    + _findings(_ALL_FILES, "file")
+    + ","
+    + _labels(keys="file")
+    + ","
+    + _changes(keys="file")
+    + ","
+    + _pieces("SELECT file, text FROM files WHERE file LIKE '%.conf'", "file")
+)
+
 ORACLES: dict[str, str] = {
     "label_by_source": _CODE_LABELS
     + " SELECT source, label, count(*) AS files, CAST(sum(coalesce(n, 0)) AS BIGINT) AS findings FROM files"
@@ -294,14 +322,10 @@ ORACLES: dict[str, str] = {
     + " SELECT doc_id, coalesce(string_agg(pattern_type, ',' ORDER BY seq), '') AS tokens"
     " FROM files LEFT JOIN findings USING (doc_id) GROUP BY doc_id",
     "finding_lines": _CODE + " SELECT DISTINCT doc_id, line FROM findings",
-    "finding_excerpt": _CODE
-    + ","
-    + _LINES
-    + " SELECT doc_id, seq, string_agg(printf('  %3d | %s', l.line, l.text), chr(10) ORDER BY l.line) AS excerpt"
-    " FROM findings f JOIN lines l USING (doc_id) WHERE l.line BETWEEN f.line - 2 AND f.line + 2 GROUP BY doc_id, seq",
+    "finding_excerpt": _CODE + "," + _lines() + " SELECT doc_id, seq, excerpt FROM excerpts",
     "marked_listing": _CODE
     + ","
-    + _LINES
+    + _lines()
     + " SELECT doc_id, line, h.line IS NOT NULL AS marked, text FROM lines"
     " LEFT JOIN (SELECT DISTINCT doc_id, line FROM findings) h USING (doc_id, line)",
     "classify_files": _CODE_LABELS + " SELECT doc_id, label, final_state, message FROM labels_",
@@ -361,25 +385,12 @@ FROM whole""",
     "config_pieces": _CONFIGS + " SELECT * FROM pieces",
     "config_structure": _CONFIGS + " SELECT c_custkey, depth, sections, bad_at, well_formed FROM structure",
     "config_entries": _ENTRIES,
-    "config_issues": _CONFIGS
-    + """ SELECT c_custkey, CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY pos) - 1 AS INTEGER) AS error_no,
-  'Sensitive key ''' || key || ''' must use env var reference (${...}), got literal value instead' AS message,
-  char_offset AS line, CAST(0 AS INTEGER) AS column FROM insecure
-UNION ALL SELECT c_custkey, 0, CASE WHEN blank THEN 'Empty configuration' ELSE message END,
-  CAST(CASE WHEN blank THEN 1 ELSE line END AS INTEGER), CAST(CASE WHEN blank THEN 1 ELSE col END AS INTEGER)
-  FROM audit WHERE blank OR NOT well_formed""",
+    "config_issues": _CONFIGS + "," + _issues("c_custkey") + " SELECT * FROM issues",
     "config_audit": _CONFIGS + " SELECT c_custkey, is_valid, sections_found, n_errors, message FROM audit",
     "config_audit_summary": _CONFIGS
     + " SELECT is_valid, sections_found, count(*) AS files, CAST(sum(n_errors) AS BIGINT) AS errors FROM audit"
     " GROUP BY is_valid, sections_found",
-    "file_report": "WITH "
-    + _findings(_ALL_FILES, "file")
-    + ","
-    + _labels(keys="file")
-    + ","
-    + _changes(keys="file")
-    + ","
-    + _pieces("SELECT file, text FROM files WHERE file LIKE '%.conf'", "file")
+    "file_report": _REPORT
     + """ SELECT file AS filepath, coalesce(f.n, 0) AS findings, coalesce(f.r, 0) AS rules, l.label AS classification,
   l.final_state AS classification_state, coalesce(c.n, 0) AS transformations, coalesce(c.n, 0) > 0 AS has_changes,
   CASE WHEN a.file IS NULL THEN 'N/A' WHEN a.is_valid THEN 'PASS' ELSE 'FAIL' END AS validation,
@@ -388,6 +399,29 @@ FROM files LEFT JOIN (SELECT file, CAST(count(*) AS INTEGER) AS n, CAST(count(DI
     FROM findings GROUP BY file) f USING (file)
   JOIN labels_ l USING (file) LEFT JOIN (SELECT file, CAST(count(*) AS INTEGER) AS n FROM changes GROUP BY file) c
     USING (file) LEFT JOIN audit a USING (file)""",
+    "file_report_json": _REPORT
+    + ","
+    + _lines("file")
+    + ","
+    + _issues("file")
+    + """,
+found AS (SELECT file, to_json(list({'pattern_type': pattern_type, 'value': value, 'line': line, 'excerpt': excerpt}
+    ORDER BY seq)) AS items, to_json(list(pattern_type ORDER BY seq)) AS tokens
+  FROM findings JOIN excerpts USING (file, seq) GROUP BY file),
+counted AS (SELECT file, string_agg(printf('"%s":%d', pattern_type, n), ',' ORDER BY pattern_type) AS counts
+  FROM (SELECT file, pattern_type, count(*) AS n FROM findings GROUP BY file, pattern_type) GROUP BY file),
+changed AS (SELECT file, to_json(list({'line': line_number, 'before': original_line, 'after': transformed_line,
+    'reason': 'Action: ' || action} ORDER BY line_number)) AS items FROM changes GROUP BY file),
+faults AS (SELECT file, to_json(list({'line': line, 'type': 'CFG_ERROR', 'value': message} ORDER BY error_no)) AS items
+  FROM issues GROUP BY file)
+SELECT file AS filepath, concat('{"filepath":', to_json(file), ',"findings":', coalesce(f.items, '[]'),
+  ',"summary":{', n.counts, '},"tokens":', coalesce(f.tokens, '[]'), ',"classification":"', l.label,
+  '","transformations":', coalesce(c.items, '[]'), ',"validation":{"status":',
+  CASE WHEN a.file IS NULL THEN '"N/A","message":"Validation applies to .conf files only"'
+    ELSE concat(CASE WHEN a.is_valid THEN '"PASS"' ELSE '"FAIL"' END, ',"message":', to_json(a.message),
+      ',"violations":', coalesce(v.items, '[]')) END, '}}') AS json
+FROM files JOIN labels_ l USING (file) LEFT JOIN found f USING (file) LEFT JOIN counted n USING (file)
+  LEFT JOIN changed c USING (file) LEFT JOIN audit a USING (file) LEFT JOIN faults v USING (file)""",
     "decode_files": "SELECT 'doc_' || doc_id || '.py' AS path, CASE WHEN lang <> 'fr' THEN '.py' END AS ext,"
     " CASE WHEN lang <> 'fr' THEN md5(text) END AS text_md5, CASE WHEN lang = 'fr' THEN 'not_utf8' END AS reason"
     " FROM documents",
