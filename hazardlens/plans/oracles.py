@@ -422,6 +422,44 @@ SELECT file AS filepath, concat('{"filepath":', to_json(file), ',"findings":', c
       ',"violations":', coalesce(v.items, '[]')) END, '}}') AS json
 FROM files JOIN labels_ l USING (file) LEFT JOIN found f USING (file) LEFT JOIN counted n USING (file)
   LEFT JOIN changed c USING (file) LEFT JOIN audit a USING (file) LEFT JOIN faults v USING (file)""",
+    "file_report_text": _REPORT
+    + ","
+    + _lines("file")
+    + ","
+    + _issues("file")
+    + """,
+listed AS (SELECT file, string_agg(printf('  %s %3d | %s', CASE WHEN h.line IS NULL THEN '   ' ELSE '>>>' END, line, text),
+    chr(10) ORDER BY line) AS shown
+  FROM lines LEFT JOIN (SELECT DISTINCT file, line FROM findings) h USING (file, line) GROUP BY file),
+found AS (SELECT file, count(*) AS n, string_agg(printf('    [%s] line %d -> %s', pattern_type, line, value), chr(10)
+    ORDER BY seq) AS shown, string_agg(pattern_type, ', ' ORDER BY seq) AS tokens FROM findings GROUP BY file),
+counted AS (SELECT file, string_agg(printf('    %s: %d', pattern_type, n), chr(10) ORDER BY pattern_type) AS shown
+  FROM (SELECT file, pattern_type, count(*) AS n FROM findings GROUP BY file, pattern_type) GROUP BY file),
+steps AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY line_number) AS k FROM changes),
+changed AS (SELECT file, string_agg(concat(printf('  %d. Line %d - Action: %s', k, line_number, action), chr(10),
+    '     Before: ', original_line, chr(10), '     After:  ', transformed_line), chr(10) ORDER BY k) AS shown
+  FROM steps GROUP BY file),
+renewed AS (SELECT file, string_agg(printf('    %3d | %s', line, coalesce(transformed_line, text)), chr(10) ORDER BY line)
+    AS shown
+  FROM lines LEFT JOIN (SELECT file, line_number AS line, transformed_line FROM changes) USING (file, line) GROUP BY file),
+faults AS (SELECT file, string_agg(printf('    - Line %d: [CFG_ERROR] %s', line, message), chr(10) ORDER BY error_no) AS shown
+  FROM issues GROUP BY file),
+frame AS (SELECT repeat('=', 60) AS bar, repeat('-', 40) AS rule, chr(10) AS nl)
+SELECT file AS filepath, concat_ws(nl, bar, '  File: ' || file, '  Path: ' || file, bar,
+  nl || '[1 SOURCE]', rule, coalesce(s.shown, ''),
+  nl || '[2 DETECTION]', rule, CASE WHEN f.n IS NULL THEN '  No security patterns found.' ELSE concat_ws(nl,
+    '  ' || f.n || ' pattern(s) found:' || nl, f.shown, nl || '  Counts:', n.shown, nl || '  Token sequence:',
+    '    ' || f.tokens) END,
+  nl || '[3 CLASSIFICATION]', rule, '  Result: ' || l.label, '  Final state: ' || l.final_state,
+  '  Message: ' || l.message,
+  nl || '[4 CHANGES]', rule, coalesce(c.shown, '  No changes needed.'),
+  CASE WHEN c.shown IS NOT NULL THEN concat_ws(nl, nl || '  Rewritten text:', rule, r.shown) END,
+  nl || '[5 VALIDATION]', rule, CASE WHEN a.file IS NULL THEN '  Status: [N/A] Validation applies to .conf files only'
+    ELSE concat('  Status: [', CASE WHEN a.is_valid THEN 'PASS' ELSE 'FAIL' END, '] ', a.message) END,
+  v.shown) AS report_text
+FROM files CROSS JOIN frame JOIN labels_ l USING (file) LEFT JOIN listed s USING (file) LEFT JOIN found f USING (file)
+  LEFT JOIN counted n USING (file) LEFT JOIN changed c USING (file) LEFT JOIN renewed r USING (file)
+  LEFT JOIN audit a USING (file) LEFT JOIN faults v USING (file)""",
     "decode_files": "SELECT 'doc_' || doc_id || '.py' AS path, CASE WHEN lang <> 'fr' THEN '.py' END AS ext,"
     " CASE WHEN lang <> 'fr' THEN md5(text) END AS text_md5, CASE WHEN lang = 'fr' THEN 'not_utf8' END AS reason"
     " FROM documents",
