@@ -136,6 +136,13 @@ def test_many_findings_in_one_text(spark):
     assert all(r.line == r.seq for r in rows)
 
 
+def test_line_numbers_of_many_findings(spark):
+    text = "".join(f"eval(a)\n\n# TODO {k} 1.2.3.4\n1.2.3.4 password = 'two\nlines' http://x{k}" for k in range(1500))
+    (rows,) = collect(spark, [text])
+    assert [(r.pattern_type, r.value, r.line) for r in rows] == checker.findings(text)
+    assert len(rows) > 5000
+
+
 def test_long_runs_do_not_overflow_the_stack(spark):
     mixed = "a\U0001f600" * 60_000
     texts = [f'password = "{mixed}"', f"token = {mixed}", f"http://{mixed}", f"# TODO {mixed}", f"logging.info({mixed}token)"]
