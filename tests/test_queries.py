@@ -6,6 +6,7 @@ from conftest import SF_DIR
 import __spark_entry__ as entry
 from check import compare, connect
 from hazardlens.functions.rules import master_pattern
+from hazardlens.plans.catalog import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -20,7 +21,7 @@ def test_every_check_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, name):
     ok, note = compare(spark, connect(sf_dir), name, sf_dir)
     assert ok, note
@@ -30,7 +31,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plans(spark, sf_dir, name):
     """No cross products, no Python on the way, and the pattern runs once per text."""
     plan = _plan(entry.queries()[name](spark, sf_dir))
