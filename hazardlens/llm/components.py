@@ -16,9 +16,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     to the shared folder, so a lost executor costs no earlier round. Loops and repeated edges do no harm; an empty
     table gives an empty one.
     """
-    both = save(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
-    )
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = save(edges.select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct(), "edges")
     label = save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots")
     while True:
         near = (

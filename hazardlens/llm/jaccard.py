@@ -6,8 +6,10 @@
 2.  A second pass writes per text the size of its shingle set, a class id (texts with equal sets share it), a parity
     bitmap of about one to two bits per shingle, and the first shingles in that order, as many as two linked sets
     must have one of in common.
-3.  Classes meet on those shingles in tiles: a run of one shingle, ordered by set size, cut into bands of bounded
-    length; pairs of bands make up the tiles. In a tile a pair can only be linked if the bits in which their bitmaps
+3.  Classes meet on those shingles. The classes that hold one shingle are a run; runs of the same classes are taken
+    once (they are known by a hash of their members; runs that share one by chance are looked at as one, which loses
+    nothing). A run, ordered by set size, is cut into bands of bounded length, and pairs of bands make up the tiles.
+    In a tile a pair can only be linked if the bits in which their bitmaps
     differ, a lower bound for the elements that only one of them has, are few enough. Only a spanning forest of the
     remaining pairs leaves a tile.
 4.  The components of these pairs hold all possible links. Their texts' sets are read once more, cut into tiles of
@@ -290,19 +292,25 @@ def jaccard_components(
     met = (
         classes.select("cls", "n", F.explode("first").alias("key"))
         .withColumn("members", F.count("*").over(run))
+        .withColumn("run", F.bit_xor(F.xxhash64("cls")).over(run))
         .where("members > 1")
-        .withColumn("place", F.row_number().over(run.orderBy("n", "cls")) - 1)
-        .withColumn("bands", F.ceil(F.col("members") / BAND).cast("int"))
-        .withColumn("band", F.floor(F.col("place") / BAND).cast("int"))
+        .select(F.xxhash64("run", "members").alias("run"), "cls", "n")
+        .repartition("run")
+        .dropDuplicates(["run", "cls"])
+    )
+    of_run = W.partitionBy("run")
+    met = (
+        met.withColumn("bands", F.ceil(F.count("*").over(of_run) / BAND).cast("int"))
+        .withColumn("band", F.floor((F.row_number().over(of_run.orderBy("n", "cls")) - 1) / BAND).cast("int"))
         .withColumn("tile", F.explode(_pairs_of_parts(F.col("bands"), F.col("band"))))
-        .select("key", "tile.low", "tile.high", "cls")
+        .select("run", "tile.low", "tile.high", "cls")
     )
     tiles = (
         met.join(classes.select("cls", "n", "bits"), "cls")
-        .repartition("key", "low", "high")
-        .sortWithinPartitions("key", "low", "high")
+        .repartition("run", "low", "high")
+        .sortWithinPartitions("run", "low", "high")
     )
-    possible = tiles.mapInArrow(_tile_links(("key", "low", "high"), num, den), "a long, b long").distinct()
+    possible = tiles.mapInArrow(_tile_links(("run", "low", "high"), num, den), "a long, b long").distinct()
     blocks = connected_components(possible)
 
     wanted = spark.sparkContext.broadcast(hash_filter(blocks, "node", 26))
