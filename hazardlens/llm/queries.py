@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import jaccard
+from hazardlens.llm import decontaminate, jaccard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,14 @@ def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+def op10_benchmark_decontamination(spark, sf_dir):
+    """What part of each document lies in 13-word windows of benchmark items, and of which items."""
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

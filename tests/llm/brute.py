@@ -41,3 +41,31 @@ def jaccard_components(rows, size, num, den):
             r = find(i)
             least[r] = min(least.get(r, k), k)
     return [(k, len(s), least.get(find(i)) if s else k) for i, ((k, _), s) in enumerate(zip(rows, sets))]
+
+
+def _contract_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def decontaminate(docs, items, size=13):
+    """``docs``, ``items``: (id, text). Returns (id, words, hit words, items, their digest, contaminated) per document."""
+    import hashlib
+
+    windows = {}
+    for k, text in items:
+        w = _contract_words(text)
+        for i in range(max(1, len(w) - size + 1)) if w else ():
+            windows.setdefault(tuple(w[i : i + size]), set()).add("" if k is None else str(k))
+    sizes = {len(w) for w in windows}
+    out = []
+    for k, text in docs:
+        w = _contract_words(text)
+        hit, found = set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[tuple(w[i : i + n])]
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((k, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return out
