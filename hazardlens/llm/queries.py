@@ -5,25 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import decontaminate, jaccard
+from hazardlens.llm import decontaminate, jaccard, packing, token_files
+from hazardlens.llm.storage import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark, sf_dir):
     """Components of documents whose 4-word shingle sets have a similarity of 0.85 or more."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+def op4_token_files(spark, sf_dir):
+    """Token ids of all documents, written to bit-packed files and read back."""
+    folder = new_path(spark, "token-files")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), folder)
+    return token_files.read_token_files(spark, folder)
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     """What part of each document lies in 13-word windows of benchmark items, and of which items."""
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_token_files": op4_token_files,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
