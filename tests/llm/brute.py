@@ -69,3 +69,41 @@ def decontaminate(docs, items, size=13):
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((k, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+BASE = (
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")),
+    ("access", re.compile(r"AKIA[A-Z0-9]+")),
+    ("hex", re.compile(r"[0-9a-f]+")),
+)
+
+
+def base_secrets(text):
+    """(kind, start, end) of the base patterns, by start, then kind."""
+    out = []
+    for order, (kind, pattern) in enumerate(BASE):
+        for m in pattern.finditer(text or ""):
+            size = len(m[2]) - 12 if kind == "assign" else len(m[0]) - (18 if kind == "access" else 16)
+            if size >= 0:
+                out.append((m.start(), order, kind, m.end()))
+    return [(k, a, b) for a, _, k, b in sorted(out)]
+
+
+def entropy_spans(text, classes, allowed, window):
+    import math
+    from collections import Counter
+
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/=_-]{%d,}" % window, text or ""):
+        word = m[0]
+        kind = next((c for c in classes if re.search(c.covers.replace(r"\z", r"\Z"), word)), None)
+        if kind is None or any(re.search(a.replace(r"\z", r"\Z"), word) for a in allowed):
+            continue
+        word = word.lower() if kind.fold else word
+        best = max(
+            -sum(c / window * math.log2(c / window) for c in Counter(word[i : i + window]).values())
+            for i in range(len(word) - window + 1)
+        )
+        if best >= kind.least_bits - 1e-9:
+            out.append((m.start(), m.end()))
+    return out
