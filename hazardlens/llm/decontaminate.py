@@ -233,3 +233,12 @@ def decontaminate(
             "items string, n_near long",
         )
     )
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id has no contaminated text; rows without an id stay."""
+    found = decontaminate(docs, items, id_col, text_col, **options)
+    gone = found.where("contaminated and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)

@@ -336,3 +336,19 @@ def jaccard_components(
     return sketches.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(of_class, "cls", "left").select(
         "doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document per component: that with the smallest id.
+
+    An id names one document: of rows that repeat it one stays. Rows without an id stay; rows without words are linked
+    with nothing and stay.
+    """
+    found = save(jaccard_components(docs, id_col, text_col, **options), "components")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    repeated = (
+        found.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").drop("count")
+    )
+    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    single = kept.join(repeated, id_col, "left_anti").select(docs.columns)
+    return single.union(kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns))

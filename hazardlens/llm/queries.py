@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import decontaminate, jaccard, packing, token_files
+from hazardlens.llm import (
+    decontaminate,
+    jaccard,
+    langid,
+    licenses,
+    packing,
+    secret_scan,
+    token_files,
+    topk,
+    toxicity,
+    warc,
+)
 from hazardlens.llm.storage import new_path
 
 
@@ -13,6 +24,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark, sf_dir):
+    """Secrets in all documents: three patterns, and runs of key characters with a high entropy."""
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark, sf_dir):
     """Pieces of all documents in sequences of at most 4096 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -30,15 +46,46 @@ def op4_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, folder)
 
 
+def op5_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learnt from the labels of those that are not held out."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark, sf_dir):
+    """Language of all documents, learnt from those that are not held out."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark, sf_dir):
+    """Licences that documents, or paragraphs or lines of them, are in whole."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark, sf_dir):
+    """Records of all pages, written to archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op9_exact_topk(spark, sf_dir):
+    """The 10 highest inner products of every hundredth vector with all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     """What part of each document lies in 13-word windows of benchmark items, and of which items."""
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
+    "op6_language_id": op6_language_id,
+    "op7_license_scan": op7_license_scan,
+    "op8_warc": op8_warc,
+    "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 

@@ -204,6 +204,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "offending", "worst")
 
 
+def _keep_clean(model, text_col: str):
+    def run(batches):
+        weights, bias = model.value
+        for batch in batches:
+            for part in wd.slices(batch, text_col):
+                bag = Sentences(part.column(text_col))
+                yield part.filter(pa.array(noisy_or(bag.scores(weights, bias), bag.text) < 0.5))
+
+    return run
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``toxicity`` does not predict toxic."""
+    ship(docs.sparkSession)
+    known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    model = docs.sparkSession.sparkContext.broadcast(fit(known, labels))
+    return docs.mapInArrow(_keep_clean(model, text_col), docs.schema)
+
+
 def is_held_out(doc_id: int | None) -> bool:
     """The same rule in plain Python."""
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0

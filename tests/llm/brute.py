@@ -107,3 +107,40 @@ def entropy_spans(text, classes, allowed, window):
         if best >= kind.least_bits - 1e-9:
             out.append((m.start(), m.end()))
     return out
+
+
+def warc(pages, least=1000):
+    """``pages``: (id, html). Returns (id, bytes, digest, kind, refers to)."""
+    import hashlib
+
+    data = [(k, (h or "").encode()) for k, h in pages]
+    latest = {}
+    for k, p in data:
+        if len(p) >= least and k is not None:
+            latest[p] = max(latest.get(p, k), k)
+    out = []
+    for k, p in data:
+        top = latest.get(p)
+        again = top is not None and k != top
+        out.append((k, len(p), hashlib.sha1(p).hexdigest(), "revisit" if again else "response", top if again else None))
+    return out
+
+
+def top_k(vectors, k=10, every=100):
+    """``vectors``: (id, components). Returns (query, rank, id, score)."""
+    import math
+
+    rows = sorted(
+        {
+            (i, tuple(math.floor(1024 * float(x)) for x in v))
+            for i, v in vectors
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
+        }
+    )
+    out = []
+    for i, q in rows:
+        if i % every:
+            continue
+        found = [(-sum(a * b for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q)]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(found)[:k])]
+    return out
