@@ -14,7 +14,9 @@ import public_tokenizers
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Words in either half of the memory, and the longest word kept.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 400_000, 48
+#: Words that the library gets as one text.
+TOGETHER = 2000
 
 _PROBE = "It's a Probe, Été don't 42 ab-cd; (x) é İI ΣΣ end.\n\nNew\tline <|endoftext|> ok!"
 _open: dict[str, Encoder] = {}
@@ -29,6 +31,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        # Tokens that end a word, where the file's tokenizer marks them.
+        self.ends = np.zeros(self.size, dtype=bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.cuts = True
@@ -38,41 +44,73 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only: each is one piece, so a text of many can be cut at the tokens that end one."""
+        out = []
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            ids = np.frombuffer(self._whole([" ".join(some)])[0], dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                data, at = ids.tobytes(), (4 * cuts).tolist()
+                out += [data[a:b] for a, b in zip([0, *at], at, strict=False)]
+            else:
+                out += self._whole(some)
+        return out
+
     def _learn(self, words: set[str]) -> None:
-        """Put the ids of ``words`` into the memory."""
-        young, old, stems, fresh = self.young, self.old, {}, set()
+        """Put the ids of ``words`` into the memory.
+
+        A word of letters and a full stop or comma behind it are two pieces to the tokenizer, and it lowers ASCII
+        letters as Python does, so all such forms of a word are encoded once.
+        """
+        young, old, forms, plain, other = self.young, self.old, [], set(), set()
         for w in words:
             if w in old:
                 young[w] = old[w]
-            elif w[-1] in ".," and w[:-1].isalpha():  # two pieces to the tokenizer: the word, and the mark behind it
-                stems[w] = w[:-1]
-            else:
-                fresh.add(w)
-        for w in (*stems.values(), *{w[-1] for w in stems}):
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    fresh.add(w)
-        fresh = list(fresh)
-        young.update(zip(fresh, self._whole(fresh), strict=True))
-        young.update((w, young[s] + young[w[-1]]) for w, s in stems.items())
+                continue
+            stem, mark = (w[:-1], w[-1]) if w[-1] in ".," else (w, "")
+            if not stem.isalpha():
+                other.add(w)
+                continue
+            if stem.isascii():
+                stem = stem.lower()
+            for x in (stem, mark):
+                if x and x not in young:
+                    if x in old:
+                        young[x] = old[x]
+                    else:
+                        (plain if x is stem else other).add(x)
+            forms.append((w, stem, mark))
+        plain, other = list(plain), list(other)
+        young.update(zip(plain, self._words(plain), strict=True))
+        young.update(zip(other, self._whole(other), strict=True))
+        for w, stem, mark in forms:
+            young[w] = young[stem] + young[mark] if mark else young[stem]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._whole(texts)
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
         young = self.young
         young[""] = b""
-        missing = {w for words in cut for w in words if w not in young}
-        if missing:
-            self._learn(missing)
-        out = [b"".join([young[w] for w in words]) for words in cut]
-        for w in [w for w in missing if len(w) > LONGEST]:
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(young.get, words)) for words in cut]
+        missing = [
+            (words, ids, [i for i, x in enumerate(ids) if x is None])
+            for words, ids in zip(cut, found, strict=True)
+            if None in ids
+        ]
+        new = {words[i] for words, _, places in missing for i in places}
+        if new:
+            self._learn(new)
+        for words, ids, places in missing:
+            for i in places:
+                ids[i] = young[words[i]]
+        for w in [w for w in new if len(w) > LONGEST]:
             del young[w]
-        return out
+        return [b"".join(ids) for ids in found]
 
 
 def encoder(path: str = VOCABULARY) -> Encoder:
