@@ -27,6 +27,7 @@ SENSITIVE_KEYS = (
 )
 EMPTY_ERROR = "Empty configuration"
 EMPTY_MESSAGE = "Configuration is empty"
+UNREADABLE_MESSAGE = "File not readable: "
 MISSING_MESSAGE = "File not found: "
 KEY_ERROR = "Sensitive key '%s' must use env var reference (${...}), got literal value instead"
 SYNTAX_MESSAGE = "Syntax error at line %d, col %d"
@@ -36,9 +37,12 @@ VALID_MESSAGE = "Valid configuration with %d section(s)"
 
 _B = r"[ \t\n\r]*"
 _ID = rf"[\p{{L}}\p{{N}}_&&[^{DIGIT}]]{WORD}*+"
-# A quoted string ends at its first quote without a backslash before it; if there is none, at the last quote of
-# all. The possessive loop keeps no state per round, so many escaped quotes cannot overflow the stack.
-_STRING = "|".join(rf"{q}[^{q}]*+(?:(?<=\\){q}[^{q}]*+)*+{q}|{q}(?s:.*){q}" for q in ("\"", "'"))
+# A quoted string ends at its first quote without a backslash before it; only if there is none in the rest of the
+# text, at the last quote of all. What a string is does not depend on what follows it: the group is atomic, so a
+# string without a semicolon behind it is never tried longer. The possessive loop keeps no state per round, so many
+# escaped quotes cannot overflow the stack.
+_CLOSED = {q: rf"{q}[^{q}]*+(?:(?<=\\){q}[^{q}]*+)*+{q}" for q in ("\"", "'")}
+_STRING = "(?>" + "|".join(rf"{closed}|{q}(?s:.*){q}" for q, closed in _CLOSED.items()) + ")"
 _VALUE = rf"\$\{{{_B}({_ID}){_B}\}}|({_STRING})|([-+]?[0-9]++(?!{WORD}))|(true|false)"
 # Groups: 1 section name, 2 key, 3-6 the value kinds, 7 closing bracket, 8 everything from the first misfit on.
 _PIECE = rf"({_ID}){_B}\{{|({_ID}){_B}={_B}(?:{_VALUE}){_B};|(\}})|([^ \t\n\r](?s:.*))"
@@ -226,6 +230,12 @@ def missing_file(path: Column) -> Column:
     return _result(F.lit(False), F.lit(0), message, _one_error(message, F.lit(0), F.lit(0)))
 
 
+def rejected_file(path: Column, reason: Column) -> Column:
+    """The audit of a file that could not be read, or not decoded."""
+    message = F.concat(F.lit(UNREADABLE_MESSAGE), path, F.lit(" ("), reason, F.lit(")"))
+    return _result(F.lit(False), F.lit(0), message, _one_error(message, F.lit(0), F.lit(0)))
+
+
 def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Column:
     """struct(is_valid, sections_found, n_errors, message, errors) of one configuration text."""
     empty = _result(

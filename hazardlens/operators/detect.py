@@ -13,7 +13,6 @@ from hazardlens.functions.text import (
     MARK,
     count_newlines,
     let,
-    scan_array,
     separator,
     split_lines,
     strip,
@@ -57,10 +56,6 @@ def rule_index(match: Column) -> Column:
     return F.length(match) - F.length(F.ltrim(match, F.lit(FIELD)))
 
 
-# From this many pieces on, line numbers come from an outline of the text instead of a running count.
-OUTLINE_FROM = 2048
-
-
 def _is_odd(_: Column, i: Column) -> Column:
     return i % 2 == 1
 
@@ -68,23 +63,20 @@ def _is_odd(_: Column, i: Column) -> Column:
 def _match_lines(pieces: Column) -> Column:
     """The line each match starts on.
 
-    A running count of newlines over the pieces costs nothing in lines but much per piece. With very many pieces
-    an outline is cheaper: newlines and one mark per match, cut at the newlines, so that the position of an
-    element is its line and its length the number of matches.
+    An outline of the text holds its newlines and one mark per match. Cut at the newlines, the position of an element
+    is its line and its length the number of matches on it.
     """
     newlines = F.transform(pieces, count_newlines)
-    running = F.filter(scan_array(newlines, F.lit(1), lambda n, more: n + more, lambda n, _: n, "int"), _is_odd)
 
     def outline(n: Column, i: Column) -> Column:
         return F.concat(F.when(_is_odd(n, i), MARK).otherwise(""), F.repeat(F.lit("\n"), n))
 
-    outlined = F.flatten(
+    return F.flatten(
         F.transform(
             F.split(F.array_join(F.transform(newlines, outline), ""), "\n"),
             lambda marks, i: F.array_repeat((i + 1).cast("int"), F.length(marks)),
         )
     )
-    return F.when(F.size(pieces) < OUTLINE_FROM, running).otherwise(outlined)
 
 
 def _findings(pieces: Column, rules: tuple[Rule, ...]) -> Column:

@@ -16,8 +16,8 @@ from hazardlens.operators import report as rep
 from hazardlens.operators import rewrite as rw
 from hazardlens.plans.corpora import code_files, config_files, event_tokens
 from hazardlens.plans.pipeline import analyze
-from hazardlens.sources.corpus import read_table, spread
-from hazardlens.sources.tree import decode, list_tree
+from hazardlens.sources.corpus import read_table
+from hazardlens.sources.tree import decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,17 +48,17 @@ def label_by_source(spark, sf_dir):
 
 
 def findings_documents(spark, sf_dir):
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.explode_findings(d.detect(docs), "doc_id")
 
 
 def findings_pages(spark, sf_dir):
-    pages = spread(read_table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
     return d.explode_findings(d.detect(pages, text="html"), "page_id")
 
 
 def findings_conversations(spark, sf_dir):
-    turns = spread(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id")
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return d.explode_findings(d.detect(turns), "conv_id", "turn")
 
 
@@ -291,13 +291,6 @@ def insecure_page_urls(spark, sf_dir):
     )
 
 
-def tree_listing(spark, sf_dir):
-    """The files of the data directory through the tree source."""
-    return list_tree(spark, sf_dir, recursive=True, extensions=(".parquet",)).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "size", "reason"
-    )
-
-
 REWRITE_QUERIES = {
     "rewrite_cred": "REWRITE_CRED",
     "rewrite_leak": "REMOVE_LEAK",
@@ -345,5 +338,4 @@ QUERIES: dict[str, Query] = {
     "file_report_text": file_report_text,
     "decode_files": decode_files,
     "insecure_page_urls": insecure_page_urls,
-    "tree_listing": tree_listing,
 }

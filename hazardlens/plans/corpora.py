@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.sources.corpus import read_table, spread
+from hazardlens.sources.corpus import read_table
 
 # Passage by doc_id modulo the number of passages.
 PASSAGES = (
@@ -43,6 +43,12 @@ SHAPES = (
     "a {\n  x = {key};\n  empty { }\n}\n",
     'host = "{name}";\na { b = {key}; }\n',
     "a { x = \"}\\\"{ = ;\"; nested { API_SECRET = true; } }\nb {\n y = -{key}; s = '{segment}'; }",
+    'db { a = "{name}" password = "{segment}"; }',
+    'db {\n  user = "{name}"\n  password = "hunter{key}";\n}\n',
+    "db { a = '{name}' }\nweb { token = '{segment}'; }\n",
+    'db { a = "{name}" }\nweb { token = "t{key}"; }\n',
+    'a { x = "1"; password = "{name}" ; z = "w" q = "r"; }',
+    "a { x = \"{name}\\\" y\"; token = '{key}\\''; }",
 )
 
 # Token by event type; a click of high value is a dangerous call, other clicks are no token of the alphabet.
@@ -58,7 +64,7 @@ def _sql_text(text: str) -> str:
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, source, path, text."""
     passage = F.get(F.lit(list(PASSAGES)), (F.col("doc_id") % len(PASSAGES)).cast("int"))
-    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id").select(
+    return read_table(spark, sf_dir, "documents").select("doc_id", "source", "text").select(
         "doc_id",
         "source",
         F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".py")).alias("path"),
@@ -72,7 +78,7 @@ def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for mark, value in (("{name}", "c_name"), ("{key}", "c_custkey"), ("{segment}", "c_mktsegment")):
         shape = F.replace(shape, F.lit(mark), F.col(value).cast("string"))
     rows = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return spread(rows, "c_custkey").select(
+    return rows.select(
         "c_custkey",
         F.concat(F.lit("customer_"), F.col("c_custkey"), F.lit(".conf")).alias("path"),
         shape.alias("text"),

@@ -28,7 +28,8 @@ _PATTERNS = {
 }
 _CONFIG = (
     r"([^\W\d]\w*)[ \t\n\r]*\{|([^\W\d]\w*)[ \t\n\r]*=[ \t\n\r]*(?:\$\{[ \t\n\r]*([^\W\d]\w*)[ \t\n\r]*\}"
-    r"|(\"(?:\\\"|[^\"])*\"|'(?:\\'|[^'])*')|([-+]?[0-9]+\b)|(true|false))[ \t\n\r]*;"
+    # A string ends at its first quote without a backslash before it; no shape has a string without such a quote.
+    r"|(\"(?:[^\"\\]|\\+[^\"\\]|\\+\")*\"|'(?:[^'\\]|\\+[^'\\]|\\+')*')|([-+]?[0-9]+\b)|(true|false))[ \t\n\r]*;"
     r"|(\})|([^ \t\n\r](?s:.*))"
 )
 # ---- end of fixed values --------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.rules import RULES, Rule
 from hazardlens.operators.classify import DEFAULT_TABLE, TransitionTable, classification
-from hazardlens.operators.config_audit import audit, config_audit, missing_file
+from hazardlens.operators.config_audit import audit, config_audit, missing_file, rejected_file
 from hazardlens.operators.counts import summary_map
 from hazardlens.operators.detect import tokens
 from hazardlens.operators.rewrite import rewrite
@@ -84,7 +84,13 @@ def analyze(
 
 
 def audit_tree(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """Audit of the configuration files under a path; a missing path is an invalid result, not an error."""
+    """Audit of the configuration files under a path: a row per file, also of those that are missing, cannot be read
+    or are not UTF-8; they are invalid results, not errors."""
     files, rejected = read_tree(spark, path, recursive, (AUDITED_SUFFIX,))
-    missing = rejected.where(F.col("reason") == "not_found").select("path", missing_file(F.col("path")).alias("_a"))
-    return config_audit(files, "path").unionByName(missing.select("path", "_a.*"))
+    failed = rejected.select(
+        "path",
+        F.when(F.col("reason") == "not_found", missing_file(F.col("path")))
+        .otherwise(rejected_file(F.col("path"), F.col("reason")))
+        .alias("_a"),
+    )
+    return config_audit(files, "path").unionByName(failed.select("path", "_a.*"))

@@ -90,6 +90,14 @@ def test_audit_tree(spark, tree):
     assert [tuple(e) for e in row.errors] == [(row.message, 0, 0)]
 
 
+def test_audit_reports_files_it_cannot_decode(spark, tmp_path):
+    (tmp_path / "bad.conf").write_bytes(b"a { x = \xff; }")
+    (tmp_path / "good.conf").write_text("a { x = 1; }")
+    rows = {os.path.basename(r.path): r for r in audit_tree(spark, str(tmp_path)).collect()}
+    assert (rows["good.conf"].is_valid, rows["bad.conf"].is_valid) == (True, False)
+    assert rows["bad.conf"].message.endswith("bad.conf (not_utf8)")
+
+
 def test_nothing_to_scan(spark, tree):
     files, rejected = read_tree(spark, f"{tree}/sub")
     assert (files.count(), rejected.count()) == (0, 0)
