@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import ship
+from hazardlens.llm.storage import ship, thinned
 
 #: Most documents of each language in the training sample.
 SAMPLE = 600
@@ -135,7 +135,8 @@ def fit(docs: DataFrame) -> Model:
     marked = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     key = F.xxhash64("doc_id", F.lit(6))
     first = W.partitionBy("lang").orderBy(key, "doc_id")
-    chosen = marked.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE)
+    few = thinned(marked.select("doc_id", "lang"), "lang", "doc_id", SAMPLE, 66)
+    chosen = few.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE)
     wanted = [(r["doc_id"], r["lang"]) for r in chosen.collect()]
     if not wanted:
         return train([], [])

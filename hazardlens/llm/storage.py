@@ -58,6 +58,21 @@ def ship(spark: SparkSession) -> None:
     sc._hazardlens_shipped = True
 
 
+def thinned(rows: DataFrame, kind: str, key: str, wanted: int, seed: int) -> DataFrame:
+    """About twice ``wanted`` rows of each kind, those whose key has the lowest hashes; all rows of rarer kinds.
+
+    A bounded sample is then drawn from these, so that no task ever sorts more than a few times the sample. The kinds
+    (labels, languages) are counted and their counts are collected.
+    """
+    counts = rows.groupBy(kind).count().collect()
+    keep = F.lit(False)
+    for row in counts:
+        share = min(1 << 32, -(-2 * wanted * (1 << 32) // row["count"]))
+        place = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 32))
+        keep = keep | ((F.col(kind) == F.lit(row[kind])) & (place < F.lit(share)))
+    return rows.where(keep)
+
+
 class HashFilter:
     """A bit per hash value modulo 2**bits: a necessary condition for membership, of fixed size."""
 

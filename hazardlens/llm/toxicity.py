@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import ship
+from hazardlens.llm.storage import ship, thinned
 
 #: Most documents of each label in the training sample.
 SAMPLE = 2500
@@ -143,9 +143,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     marked = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(F.col("doc_id").isNotNull() & ~held_out())
     order = [F.xxhash64("doc_id", F.lit(5)), F.col("doc_id")]
+    few = thinned(marked, "toxic", "doc_id", SAMPLE, 55)
     chosen = None
     for label in (0, 1):
-        some = marked.where(F.col("toxic") == label).orderBy(*order).limit(SAMPLE)
+        some = few.where(F.col("toxic") == label).orderBy(*order).limit(SAMPLE)
         chosen = some if chosen is None else chosen.union(some)
     wanted = {r["doc_id"]: r["toxic"] for r in chosen.collect()}
     if not wanted:
