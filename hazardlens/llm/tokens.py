@@ -37,6 +37,7 @@ class Encoder:
             self.ends[k] = token.endswith("</w>")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.remembered = REMEMBERED
         self.cuts = True
         self.cuts = self.encode([_PROBE])[0] == self._whole([_PROBE])[0]
 
@@ -91,8 +92,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._whole(texts)
-        if len(self.young) > REMEMBERED:
+        if len(self.young) > self.remembered:
             self.old, self.young = self.young, {}
+        if len(self.old) > 2 * self.remembered:
+            self.old = {}
         young = self.young
         young[""] = b""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
@@ -113,8 +116,9 @@ class Encoder:
         return [b"".join(ids) for ids in found]
 
 
-def encoder(path: str = VOCABULARY) -> Encoder:
-    """The encoder of a file; one per worker process, kept for its later tasks."""
+def encoder(path: str = VOCABULARY, remembered: int = REMEMBERED) -> Encoder:
+    """The encoder of a file; one per worker process, kept for its later tasks, with its memory of words."""
     if path not in _open:
         _open[path] = Encoder(path)
+    _open[path].remembered = remembered
     return _open[path]

@@ -162,7 +162,7 @@ def _score(model):
     def run(batches):
         weights, bias = model.value
         for batch in batches:
-            for part in wd.slices(batch):
+            for part in wd.slices(batch, limit=1 << 20):
                 bag = Sentences(part.column("text"))
                 p = bag.scores(weights, bias)
                 score = noisy_or(p, bag.text)
@@ -209,7 +209,7 @@ def _keep_clean(model, text_col: str):
     def run(batches):
         weights, bias = model.value
         for batch in batches:
-            for part in wd.slices(batch, text_col):
+            for part in wd.slices(batch, text_col, 1 << 20):
                 bag = Sentences(part.column(text_col))
                 yield part.filter(pa.array(noisy_or(bag.scores(weights, bias), bag.text) < 0.5))
 
