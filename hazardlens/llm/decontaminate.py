@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import file_system, hash_filter, new_path, ship
+from hazardlens.llm.storage import file_system, hash_filter, new_path, save, ship, split_by_ids
 
 #: Words of a window, and windows that a task holds at a time.
 WINDOW, WINDOWS_AT_ONCE = 13, 1 << 15
@@ -241,4 +241,6 @@ def drop_contaminated(
     """The rows of ``docs``, with all their columns, whose id has no contaminated text; rows without an id stay."""
     found = decontaminate(docs, items, id_col, text_col, **options)
     gone = found.where("contaminated and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+    gone = save(gone, "contaminated")
+    sure, others = split_by_ids(docs, gone, id_col)
+    return sure.union(others.join(gone, id_col, "left_anti").select(docs.columns))

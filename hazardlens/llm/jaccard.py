@@ -30,7 +30,7 @@ from pyspark.sql.window import Window as W
 
 from hazardlens.llm import words as wd
 from hazardlens.llm.components import connected_components
-from hazardlens.llm.storage import hash_filter, save, ship
+from hazardlens.llm.storage import hash_filter, save, ship, split_by_ids
 
 #: Most entries of the list of frequent shingles, and the shingles of a text part counted at once.
 FREQUENT, COUNTED = 1 << 19, 1 << 22
@@ -349,6 +349,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeated = (
         found.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").drop("count")
     )
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    sure, others = split_by_ids(docs, gone.union(repeated), id_col)
+    kept = others.join(gone, id_col, "left_anti").select(docs.columns)
     single = kept.join(repeated, id_col, "left_anti").select(docs.columns)
-    return single.union(kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns))
+    one = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
+    return sure.union(single).union(one)

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,27 @@ def ship(spark: SparkSession) -> None:
     sc._hazardlens_shipped = True
 
 
+def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose id is surely not among ``ids``, which no shuffle touches, and a written table of all the others.
+
+    The others are about as many as ``ids`` has: a bit filter of fixed size decides, so the second part still needs a
+    join. Rows without an id may be in either part.
+    """
+    mark = "_hash_of_id"
+    held = docs.sparkSession.sparkContext.broadcast(hash_filter(ids.select(F.xxhash64(id_col).alias("h")), "h", 24))
+
+    def keep(wanted: bool):
+        def run(batches):
+            for batch in batches:
+                hit = held.value.may_hold(batch.column(mark).to_numpy())
+                yield batch.select([n for n in batch.schema.names if n != mark]).filter(pa.array(hit == wanted))
+
+        return run
+
+    marked = docs.withColumn(mark, F.xxhash64(id_col))
+    return marked.mapInArrow(keep(False), docs.schema), save(marked.mapInArrow(keep(True), docs.schema), "looked-at")
+
+
 def thinned(rows: DataFrame, kind: str, key: str, wanted: int, seed: int) -> DataFrame:
     """About twice ``wanted`` rows of each kind, those whose key has the lowest hashes; all rows of rarer kinds.
 

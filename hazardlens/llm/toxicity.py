@@ -101,7 +101,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, seed
         at, _ = np.nonzero(bag.features)
         buckets, of = bag.features[bag.features > 0], bag.of[at]
         touched, place = np.unique(buckets, return_inverse=True)
-        uses.append((touched, place, of, len(bag.sentence)))
+        uses.append((touched, place.astype(np.int32), of.astype(np.int32), len(bag.sentence)))
     del bags
     rng = np.random.default_rng(seed)
     weight = {0: 1.0, 1: (1 - share) / share}
