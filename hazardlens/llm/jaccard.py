@@ -10,8 +10,8 @@
     once (they are known by a hash of their members; runs that share one by chance are looked at as one, which loses
     nothing). A run, ordered by set size, is cut into bands of bounded length, and pairs of bands make up the tiles.
     In a tile a pair can only be linked if the bits in which their bitmaps
-    differ, a lower bound for the elements that only one of them has, are few enough. Only a spanning forest of the
-    remaining pairs leaves a tile.
+    differ, a lower bound for the elements that only one of them has, are few enough. Only a star per component of
+    the remaining pairs leaves a tile.
 4.  The components of these pairs hold all possible links. Their texts' sets are read once more, cut into tiles of
     bounded size, and each pair not yet connected in its tile is checked by bitmap and then by exact intersection.
     The components of the exact links are the result.
@@ -211,16 +211,20 @@ def linked(x: Member, y: Member, num: int, den: int) -> bool:
 
 
 def spanning_links(members: list[Member], num: int, den: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links among the members of a tile; a pair already connected is not looked at."""
+    """The components of the links among the members of a tile, each as a star around its first member.
+
+    A pair already connected is not looked at. Tiles that share most of their members mostly give the same edges, which
+    then count once; the links themselves would differ from tile to tile.
+    """
     a, b = [], []
     rest = sorted(members, key=lambda m: (m.n, m.cls))
     while rest:
-        queue, rest = [rest[0]], rest[1:]
+        centre, queue, rest = rest[0].cls, [rest[0]], rest[1:]
         while queue and rest:
             x, apart = queue.pop(), []
             for y in rest:
                 if linked(x, y, num, den):
-                    a.append(x.cls), b.append(y.cls)
+                    a.append(centre), b.append(y.cls)
                     queue.append(y)
                 else:
                     apart.append(y)
