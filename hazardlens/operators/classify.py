@@ -266,48 +266,69 @@ def classify_long(
     )
 
 
+def _compose(runs: DataFrame, by: Sequence[str], run: str) -> DataFrame:
+    """One vector "end state per start state" for the consecutive runs of each group, in the order of ``run``."""
+
+    def through(start: Column, ordered: Column) -> Column:
+        return F.aggregate(ordered, start, lambda state, r: F.get(r["_ends"], state))
+
+    return (
+        runs.groupBy(*by)
+        .agg(F.sum("_n").alias("_n"), F.array_sort(F.collect_list(F.struct(run, "_ends"))).alias("_runs"))
+        .select(
+            *by,
+            "_n",
+            let(
+                F.col("_runs"),
+                lambda ordered: F.transform(
+                    F.sequence(F.lit(0), F.size(ordered[0]["_ends"]) - 1), lambda s: through(s, ordered)
+                ),
+            ).alias("_ends"),
+        )
+    )
+
+
 def classify_long_runs(
     df: DataFrame,
     key: Sequence[str],
     order: Sequence[str],
     token: str = "token",
     table: TransitionTable = DEFAULT_TABLE,
-    partitions: int | None = None,
+    run_rows: int = 4096,
 ) -> DataFrame:
     """Classify each key of a long token table with any transition table.
 
-    Range partitioning on (key, order) cuts a large key into several runs of consecutive rows, so a run is never
-    larger than a partition. A run becomes one array, the end state for each start state, and only these arrays
-    (one per key and partition) are brought together per key.
+    Rows are ordered by (key, order) over range partitions and numbered; ``run_rows`` consecutive numbers are a run.
+    A run of a key becomes one vector, the end state for each start state. ``run_rows`` runs are then composed to a
+    block, and the blocks to the result, so an array holds at most ``run_rows`` items below the last level, whatever
+    the size of a key or a partition. Rows of equal order are taken by token.
     """
     key, order = list(key), list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    codes = F.transform(F.array_sort("_rows"), lambda r: r["_code"].cast("int"))
     runs = (
         df.select(*key, *order, table.token_code(F.col(token)).cast("byte").alias("_code"))
-        .repartitionByRange(n, *key, *order)
-        .withColumn("_run", F.spark_partition_id())
+        .repartitionByRange(*key, *order)
+        .sortWithinPartitions(*key, *order, "_code")
+        # Numbers grow with the partition, and within it with the row.
+        .select(*key, "_code", F.monotonically_increasing_id().alias("_at"))
+        .withColumn("_run", F.floor(F.col("_at") / run_rows))
         .groupBy(*key, "_run")
-        .agg(F.array_sort(F.collect_list(F.struct(*order, "_code"))).alias("_rows"))
+        .agg(F.count("*").alias("_n"), F.collect_list(F.struct("_at", "_code")).alias("_rows"))
         .select(
             *key,
             "_run",
-            F.size("_rows").alias("_n"),
+            F.floor(F.col("_run") / run_rows).alias("_block"),
+            "_n",
             let(
-                F.transform("_rows", lambda r: r["_code"].cast("int")),
-                lambda codes: F.transform(
-                    F.lit(list(range(len(table.states)))), lambda s: F.aggregate(codes, s, table.step)
+                codes,
+                lambda all_codes: F.transform(
+                    F.lit(list(range(len(table.states)))), lambda s: F.aggregate(all_codes, s, table.step)
                 ),
             ).alias("_ends"),
         )
     )
-    composed = runs.groupBy(*key).agg(
-        F.sum("_n").alias("n_tokens"),
-        F.aggregate(
-            F.array_sort(F.collect_list(F.struct("_run", "_ends"))),
-            F.lit(0),
-            lambda state, run: F.get(run["_ends"], state),
-            lambda state: F.get(F.lit(table.states), state),
-        ).alias("_state"),
+    composed = _compose(_compose(runs, [*key, "_block"], "_run"), key, "_block").select(
+        *key, F.col("_n").alias("n_tokens"), F.get(F.lit(table.states), F.get("_ends", F.lit(0))).alias("_state")
     )
     parts = table.result(F.col("_state"), F.lit(False))
     return composed.select(*key, "n_tokens", *(parts[c].alias(c) for c in ("label", "final_state", "message")))

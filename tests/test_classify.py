@@ -106,17 +106,26 @@ def test_long_forms_equal_the_fold(long_table):
     want = _as_set(_by_fold(long_table))
     assert {r[2] for r in want if r[0] is not None and r[0] < 0} == {"q_violation", "q_sink"}
     assert _as_set(c.classify_long(long_table, ["k"], c.composite_order("ts", "id"))) == want
-    assert _as_set(c.classify_long_runs(long_table, ["k"], ["ts", "id"], partitions=17)) == want
+    for run_rows in (3, 17, 4096):
+        assert _as_set(c.classify_long_runs(long_table, ["k"], ["ts", "id"], run_rows=run_rows)) == want
 
 
-def test_runs_cut_the_hot_key(long_table):
-    cut = long_table.repartitionByRange(17, "k", "ts", "id").where("k = -1")
-    assert cut.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+def test_runs_of_one_key_with_nearly_all_rows(spark):
+    # Only the first and the last token decide; in between nothing may be lost or swapped.
+    n = 20_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"),
+        "id",
+        F.when(F.col("id") == 1, K).when(F.col("id") == n - 1, P).otherwise(E).alias("token"),
+    )
+    for run_rows in (8, 100):
+        got = {r.k: (r.n_tokens, r.final_state) for r in c.classify_long_runs(rows, ["k"], ["id"], run_rows=run_rows).collect()}
+        assert got[-1] == (n - n // 10, "q_violation") and len(got) == 1 + n // 10
 
 
 def test_other_table(spark):
     parity = c.TransitionTable("even", (("even", "x", "odd"), ("odd", "x", "even")), {"even": "E", "odd": "O"})
     rows = [(k, pos, "x" if pos % 2 else "y") for k in range(5) for pos in range(k * 3)]
     df = spark.createDataFrame(rows, "k long, pos long, token string")
-    got = {r.k: r.final_state for r in c.classify_long_runs(df, ["k"], ["pos"], table=parity, partitions=5).collect()}
+    got = {r.k: r.final_state for r in c.classify_long_runs(df, ["k"], ["pos"], table=parity, run_rows=2).collect()}
     assert got == {k: "odd" if (k * 3 // 2) % 2 else "even" for k in range(1, 5)}
