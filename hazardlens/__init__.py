@@ -11,7 +11,7 @@ from hazardlens.operators.classify import (
 )
 from hazardlens.operators.config_audit import config_audit, config_entries, config_issues
 from hazardlens.operators.counts import corpus_summary, counts_by, counts_by_file, gate
-from hazardlens.operators.detect import detect, explode_findings, tokens
+from hazardlens.operators.detect import detect, explode_excerpts, explode_findings, tokens
 from hazardlens.operators.report import listing, report_json, report_text, write_report_json
 from hazardlens.operators.rewrite import line_actions, rewrite, suggestions
 from hazardlens.plans.pipeline import analyze, audit_tree
@@ -34,6 +34,7 @@ __all__ = [
     "counts_by",
     "counts_by_file",
     "detect",
+    "explode_excerpts",
     "explode_findings",
     "gate",
     "heuristic_label",

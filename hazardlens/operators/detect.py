@@ -13,6 +13,7 @@ from hazardlens.functions.text import (
     MARK,
     count_newlines,
     let,
+    part,
     separator,
     split_lines,
     strip,
@@ -100,18 +101,20 @@ def _findings(pieces: Column, rules: tuple[Rule, ...]) -> Column:
     )
 
 
-def with_excerpts(findings: Column, text: Column, context_lines: int = 2) -> Column:
-    """Findings with ``excerpt``: the lines around each, numbered and cut at the ends of the text."""
+def _excerpt(lines: Column, line: Column, context_lines: int) -> Column:
+    first = F.greatest(F.lit(1), line - context_lines)
+    last = F.least(F.size(lines), line + context_lines)
+    shown = F.transform(F.sequence(first, last), lambda k: F.format_string("  %3d | %s", k, F.get(lines, k - 1)))
+    # Line numbers count newlines only, of which there are never more than line ends of all kinds.
+    return F.array_join(shown, "\n")
 
-    def excerpt(lines: Column, line: Column) -> Column:
-        first = F.greatest(F.lit(1), line - context_lines)
-        last = F.least(F.size(lines), line + context_lines)
-        shown = F.transform(
-            F.sequence(first, last), lambda k: F.format_string("  %3d | %s", k, F.get(lines, k - 1))
-        )
-        # Line numbers count newlines only, of which there are never more than line ends of all kinds.
-        return F.array_join(shown, "\n")
 
+def with_excerpts(findings: Column, text: Column, context_lines: int = 2) -> Column:
+    """Findings with ``excerpt``: the lines around each, numbered and cut at the ends of the text.
+
+    The array holds the lines once per finding. Where a text may have very many findings in long lines, use
+    ``explode_excerpts``.
+    """
     both = F.struct(findings.alias("findings"), split_lines(text).alias("lines"))
     shown = let(
         both,
@@ -122,13 +125,41 @@ def with_excerpts(findings: Column, text: Column, context_lines: int = 2) -> Col
                 f["pattern_type"].alias("pattern_type"),
                 f["value"].alias("value"),
                 f["line"].alias("line"),
-                excerpt(b["lines"], f["line"]).alias("excerpt"),
+                _excerpt(b["lines"], f["line"], context_lines).alias("excerpt"),
             ),
         ),
     )
     return F.when(F.size(findings) > 0, shown).otherwise(F.array().cast(f"array<{FINDING_WITH_EXCERPT}>"))
 
 
+def _by_line(findings: Column, text: Column, context_lines: int) -> Column:
+    """One (excerpt, findings) per line with findings. Each line of the text is held a few times at most."""
+    both = F.struct(findings.alias("findings"), split_lines(text).alias("lines"))
+
+    def opens_line(found: Column) -> Column:
+        at = F.transform(
+            found, lambda f, i: F.when(F.coalesce(F.get(found, i - 1)["line"] != f["line"], F.lit(True)), i)
+        )
+        return F.filter(at, lambda i: i.isNotNull())
+
+    def group(b: Column, i: Column, k: Column) -> Column:
+        last = F.coalesce(F.get(b["opens"], k + 1), F.size(b["findings"]))
+        line = F.get(b["findings"], i)["line"]
+        return F.struct(
+            _excerpt(b["lines"], line, context_lines).alias("excerpt"),
+            part(b["findings"], i + 1, last).alias("of_line"),
+        )
+
+    groups = let(
+        both,
+        lambda b: let(
+            F.struct(b["findings"].alias("findings"), b["lines"].alias("lines"), opens_line(b["findings"]).alias("opens")),
+            lambda c: F.transform(c["opens"], lambda i, k: group(c, i, k)),
+        ),
+    )
+    return F.when(F.size(findings) > 0, groups)
+
+
 def detect(
     files: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -157,6 +188,12 @@ def explode_findings(detected: DataFrame, *keep: str) -> DataFrame:
     return detected.select(*keep, F.inline_outer("findings")).where(F.col("seq").isNotNull())
 
 
+def explode_excerpts(detected: DataFrame, *keep: str, text: str = "text", context_lines: int = 2) -> DataFrame:
+    """One row per finding, with the ``keep`` columns and ``excerpt``; excerpts multiply as rows only."""
+    lines = detected.select(*keep, F.inline_outer(_by_line(F.col("findings"), F.col(text), context_lines)))
+    return lines.select(*keep, F.inline_outer("of_line"), "excerpt").where(F.col("seq").isNotNull())
+
+
 def tokens(findings: Column) -> Column:
     """The rule names in order of occurrence."""
     return F.transform(findings, lambda f: f["pattern_type"])

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.text import let, split_lines
 from hazardlens.operators.counts import rule_counts
+from hazardlens.operators.detect import with_excerpts
 
 JSON_FIELDS = ("filepath", "findings", "summary", "tokens", "classification", "transformations", "validation")
 
 
-def report_json(reports: DataFrame) -> DataFrame:
-    """``filepath`` and ``json``: one JSON object per file. Text outside ASCII is kept as it is."""
+def report_json(reports: DataFrame, context_lines: int = 2) -> DataFrame:
+    """``filepath`` and ``json``: one JSON object per file. Text outside ASCII is kept as it is.
+
+    Every finding carries its excerpt, so the object of a file with very many findings in long lines is large.
+    """
     findings = F.transform(
-        "findings",
+        with_excerpts(F.col("findings"), F.col("source"), context_lines),
         lambda f: F.struct(*(f[c].alias(c) for c in ("pattern_type", "value", "line", "excerpt"))),
     )
     fields = [findings.alias(c) if c == "findings" else F.col(c) for c in JSON_FIELDS]

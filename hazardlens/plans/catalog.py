@@ -93,8 +93,7 @@ def finding_lines(spark, sf_dir):
 
 
 def finding_excerpt(spark, sf_dir):
-    found = d.detect(code_files(spark, sf_dir), context_lines=2)
-    return d.explode_findings(found, "doc_id").select("doc_id", "seq", "excerpt")
+    return d.explode_excerpts(_found(spark, sf_dir), "doc_id").select("doc_id", "seq", "excerpt")
 
 
 def marked_listing(spark, sf_dir):

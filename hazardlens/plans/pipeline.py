@@ -29,12 +29,12 @@ def analyze(
     text: str = "text",
     rules: tuple[Rule, ...] = RULES,
     table: TransitionTable = DEFAULT_TABLE,
-    context_lines: int = 2,
     **rewrite_options,
 ) -> DataFrame:
     """One report row per file: findings, counts, label, rewritten text and, for config files, the audit.
 
-    ``rewrite_options`` go to ``rewrite``: ``rewriters``, ``actions``, ``redaction_marker``.
+    Findings have no excerpts here, which could multiply the text: ``report_json`` adds them, ``explode_excerpts``
+    gives them as rows. ``rewrite_options`` go to ``rewrite``: ``rewriters``, ``actions``, ``redaction_marker``.
     """
     checked = F.struct(
         F.when(F.col("_audit.is_valid"), PASS).otherwise(FAIL).alias("status"),
@@ -59,7 +59,7 @@ def analyze(
         ),
     )
     return (
-        rewrite(files, rules, text, context_lines=context_lines, **rewrite_options)
+        rewrite(files, rules, text, **rewrite_options)
         .withColumn("tokens", tokens(F.col("findings")))
         .withColumn("_class", classification(F.col("tokens"), table))
         .withColumn("_audit", F.when(F.endswith(F.col(path), F.lit(AUDITED_SUFFIX)), audit(F.col(text))))

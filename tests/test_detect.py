@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlens.functions.rules import RULES, Rule
-from hazardlens.operators.detect import detect, explode_findings
+from hazardlens.operators.detect import detect, explode_excerpts, explode_findings
 
 SNIPPETS = [
     # (text, rules found, in order)
@@ -119,6 +119,25 @@ def test_random_texts_agree_with_checker(spark):
         assert [r.excerpt for r in rows] == [checker.excerpt(text, line) for _, _, line in want], repr(text)
 
 
+def test_excerpt_rows_agree_with_checker(spark):
+    texts = ["", "eval(a) eval(b)\neval(c)"] + random_texts(300, 19)
+    df = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "file_id int, text string")
+    got = {}
+    for r in explode_excerpts(detect(df), "file_id").orderBy("file_id", "seq").collect():
+        got.setdefault(r.file_id, []).append((r.pattern_type, r.value, r.line, r.excerpt))
+    for k, text in enumerate(texts):
+        want = [(rule, value, line, checker.excerpt(text, line)) for rule, value, line in checker.findings(text)]
+        assert got.get(k, []) == want, repr(text)
+    assert -1 not in got
+
+
+def test_excerpts_of_one_line_multiply_as_rows_only(spark):
+    n = 20_000
+    df = spark.createDataFrame([("eval(x);" * n,)], "text string")
+    rows = explode_excerpts(detect(df))
+    assert rows.agg(F.count("*"), F.min(F.length("excerpt")), F.max("line")).first() == (n, 8 + 8 * n, 1)
+
+
 def test_excerpt_numbers_long_files(spark):
     text = "\n".join(["x = 1"] * 1200 + ["eval(x)"] + ["y"] * 3)
     (rows,) = collect(spark, [text], context_lines=1)

@@ -184,3 +184,10 @@ def test_corpus_summary(reports):
     assert (row.files, row.safe, row.needs_review, row.security_violation) == (5, 3, 1, 1)
     assert row.findings == len(checker.findings(BAD)) + 2
     assert corpus_summary(reports.where(F.lit(False)).withColumn("label", F.lit(""))).first().findings == 0
+
+
+def test_many_findings_in_one_line(spark):
+    n = 20_000
+    report = analyze(spark.createDataFrame([("min.js", "eval(x);" * n)], "path string, text string"))
+    row = report.select(F.size("findings").alias("n"), "classification", F.length("transformed_source").alias("m")).first()
+    assert row.n == n and row.m >= 8 * n
