@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hazardlens.functions.text import DIGIT, FIELD, ODD_CASE, SPACE, WORD, S, any_case, one_of
+from hazardlens.functions.text import DIGIT, FIELD, ODD_CASE, SPACE, WORD, S, any_case, let, one_of
 
 
 @dataclass(frozen=True)
@@ -110,6 +110,80 @@ RULES: tuple[Rule, ...] = (
 )
 
 
+def _guard(text: Column, char: str) -> Column:
+    """A string that does not occur in ``text`` and that no rule can match at its start."""
+    return F.when(F.contains(text, F.lit(char)), F.concat(F.lit(char), F.sha2(text, 256), F.lit(char))).otherwise(
+        F.lit(char)
+    )
+
+
+def _close(dead: Column, opening: str, guard: Column) -> Column:
+    return F.regexp_replace(dead, F.lit(opening), F.concat(F.lit("$1"), guard))
+
+
+def _without(text: Column, *parts: Column) -> Column:
+    return reduce(lambda t, p: F.replace(t, p, F.lit("")), parts, text)
+
+
+def _after_last(text: Column, mark: Column) -> Column:
+    return F.call_function("substring_index", text, mark, F.lit(-1))
+
+
+def _hush_prints(text: Column, mark: Column, guard: Column) -> Column:
+    """Bar print calls whose string is followed by no leaked word with a closing bracket in its line."""
+    closed = F.concat(mark, F.lit(")"), mark)
+    seen = F.regexp_replace(
+        text, F.lit(rf"({LEAKED}{WORD}*+)({S}*+)(\)?)"), F.concat(F.lit("$1"), mark, F.lit("$3"), mark, F.lit("$2$3"))
+    )
+
+    def line_of(line: Column) -> Column:
+        dead = _after_last(line, closed)
+        live = F.substring(line, F.lit(1), F.length(line) - F.length(dead))
+        plain = _without(dead, F.concat(mark, mark))
+        opening = rf"({any_case('print')}{S}*+\({S}*+[fF]?)(?=[\"'])"
+        return F.concat(_without(live, closed, F.concat(mark, mark)), _close(plain, opening, guard))
+
+    return F.array_join(F.transform(F.split(seen, "\n"), line_of), "\n")
+
+
+def _hush_logs(text: Column, mark: Column, guard: Column) -> Column:
+    """Bar log calls without a leaked word before the next closing bracket, or without such a bracket."""
+    opening = rf"({any_case('logging.')}{one_of(*LOG_LEVELS)}{S}*+)(?=\()"
+
+    def stretch(parts: Column) -> Column:
+        def of(part: Column, i: Column) -> Column:
+            dead = F.when(i == F.size(parts) - 1, part).otherwise(_after_last(part, mark))
+            live = F.substring(part, F.lit(1), F.length(part) - F.length(dead))
+            return F.concat(_without(live, mark), _close(_without(dead, mark), opening, guard))
+
+        return F.array_join(F.transform(parts, of), ")")
+
+    return let(F.split(F.regexp_replace(text, F.lit(LEAKED), F.concat(F.lit("$0"), mark)), r"\)"), stretch)
+
+
+def hush(text: Column, lowered: Column) -> Column:
+    """struct(text, guard): the text with calls barred that can be no leak but would be searched to their line's, or
+    the text's, end; each by ``guard`` before its string or bracket. Nothing else can match differently, and matches
+    and gaps are as before once the guard is taken out. Only texts with two calls in one stretch are looked at.
+    """
+    marks = F.struct(text.alias("text"), _guard(text, "\u0003").alias("mark"), _guard(text, "\u0004").alias("guard"))
+    prints = F.struct(
+        F.when(lowered.rlike(r"print[^\n]*print"), let(marks, lambda m: _hush_prints(m["text"], m["mark"], m["guard"])))
+        .otherwise(text)
+        .alias("text"),
+        _guard(text, "\u0003").alias("mark"),
+        _guard(text, "\u0004").alias("guard"),
+        lowered.rlike(r"logging\.[^)]*logging\.").alias("logs"),
+    )
+    return let(
+        prints,
+        lambda p: F.struct(
+            F.when(p["logs"], _hush_logs(p["text"], p["mark"], p["guard"])).otherwise(p["text"]).alias("text"),
+            p["guard"].alias("guard"),
+        ),
+    )
+
+
 def _gate(rules: tuple[Rule, ...]) -> str:
     """Two lookaheads that turn most positions away before the alternation is tried.
 

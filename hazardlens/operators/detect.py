@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.functions.rules import RULES, Rule, master_pattern, master_replacement, may_match
+from hazardlens.functions.rules import RULES, Rule, hush, master_pattern, master_replacement, may_match
 from hazardlens.functions.text import (
     FIELD,
     MARK,
@@ -36,19 +36,17 @@ def cut_at_matches(
     passed over; the others are still cut with all rules, because a match takes its text from other rules.
     """
     wanted = rules if only is None else tuple(r for r in rules if r.name in only)
+    # A guard could change what rules of others match.
+    hushed = hush(F.col(text), F.col("_lower")) if set(rules) <= set(RULES) else F.struct(F.col(text).alias("text"), F.lit("").alias("guard"))
+    marked = F.regexp_replace(
+        F.col("_hushed")["text"], F.lit(master_pattern(rules)), master_replacement(F.col("_sep"), rules)
+    )
     return (
         files.withColumn("_lower", F.lower(text))
         .withColumn("_sep", F.when(may_match(F.col(text), F.col("_lower"), wanted), separator(F.col(text))))
-        .withColumn(
-            "_pieces",
-            F.split(
-                F.regexp_replace(
-                    F.col(text), F.lit(master_pattern(rules)), master_replacement(F.col("_sep"), rules)
-                ),
-                F.col("_sep"),
-            ),
-        )
-        .drop("_lower")
+        .withColumn("_hushed", F.when(F.col("_sep").isNotNull(), hushed))
+        .withColumn("_pieces", F.split(F.replace(marked, F.col("_hushed")["guard"], F.lit("")), F.col("_sep")))
+        .drop("_lower", "_hushed")
     )
 
 

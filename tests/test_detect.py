@@ -1,4 +1,5 @@
 import random
+import time
 
 import checker
 import pytest
@@ -119,6 +120,29 @@ def test_random_texts_agree_with_checker(spark):
         assert [r.excerpt for r in rows] == [checker.excerpt(text, line) for _, _, line in want], repr(text)
 
 
+CALL_PARTS = [
+    'print("', "print(f'", 'PRINT ( "', "print(", "logging.info(", "Logging.error (", "token", "secretoken", "Pwd", "api_key",
+    '"', "'", ")", ") ", "(", " ", "\n", "\n", "\r", "x", "_", "password = '", "http://", "eval(", "\u0003", "\u0004", "\u0001",
+]
+
+
+def test_random_calls_agree_with_checker(spark):
+    rng = random.Random(31)
+    texts = ["".join(rng.choice(CALL_PARTS) for _ in range(rng.randint(4, 40))) for _ in range(2500)]
+    for text, rows in zip(texts, collect(spark, texts)):
+        assert [(r.pattern_type, r.value, r.line) for r in rows] == checker.findings(text), repr(text)
+
+
+@pytest.mark.parametrize("call", ['print("a");', "logging.info(x;"])
+def test_many_calls_without_a_leak(spark, call):
+    # Searched to the end for each call, these would take hours.
+    text = "token " + call * (1_000_000 // len(call)) + ')\nprint(token)'
+    start = time.time()
+    (rows,) = collect(spark, [text])
+    assert [r.pattern_type for r in rows] == ["PRINT_LEAK"]
+    assert time.time() - start < 60
+
+
 def test_excerpt_rows_agree_with_checker(spark):
     texts = ["", "eval(a) eval(b)\neval(c)"] + random_texts(300, 19)
     df = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "file_id int, text string")
