@@ -253,6 +253,62 @@ def test_licenses(spark):
     assert licenses.scan(table(spark, [])).count() == 0
 
 
+def test_whole_licenses_titled_wrapped_and_inside(spark):
+    import textwrap
+
+    def file(text, width, *cuts):
+        for cut in cuts:
+            text = text.replace(cut, "\n\n" + cut)
+        return "\n\n".join("\n".join(textwrap.wrap(p, width)) for p in text.split("\n\n"))
+
+    mit = file(licenses.TEXTS["MIT"], 78, "The above copyright", "THE SOFTWARE IS")
+    isc = (
+        "Permission to use, copy, modify, and/or distribute this software for any\n"
+        "purpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.\n\n"
+        + file(licenses.TEXTS["ISC"].split("copies. ")[1], 76)
+    )
+    bsd = [
+        file(t, 79, "1. Redis", "2. Redis", "3. Neither", "THIS SOFTWARE")
+        for k, t in licenses.whole_texts()
+        if k == "BSD-3-Clause" and t.startswith("Redis") and "1. " in t
+    ][0]
+    apache = (licenses.LONG_TEXTS / "Apache-2.0.txt").read_text()
+    header = "\n\n" + apache[apache.index("   Licensed under the Apache") :].rstrip() + "\n\n"
+    owner = "Copyright (c) 2019 A. Nobody\n\n"
+    rows = [
+        (1, "MIT License\n\n" + owner + mit + "\n"),
+        (2, "The MIT License (MIT)\n\n" + owner + mit),
+        (3, owner + mit),
+        (4, "Some prose.\n\n" + owner + mit + "\n\nMore prose.\n\nAnd more."),
+        (5, "ISC License\n\nCopyright 2019 A. Nobody <a@b.c>\n\n" + isc),
+        (6, "Prose.\n\n" + isc + "\n\n" + mit + "\n\nProse."),
+        (7, "BSD 3-Clause License\n\nCopyright (c) 2019, Nobody\nAll rights reserved.\n\n" + bsd),
+        (8, "\n".join("# " + x if x else "#" for x in ("Copyright 2019 A. Nobody\n\n" + mit).split("\n"))),
+        (9, apache.replace("[yyyy] [name of copyright owner]", "2019 A. Nobody")),
+        (10, "\n\n".join(textwrap.fill(p, 50) for p in apache.split("\n\n"))),
+        (11, "Prose." + header + "Prose."),
+        (12, mit.replace("sublicense", "lend")),
+        (13, "Prose.\n\n" + mit.replace("without restriction", "with restriction") + "\n\nProse."),
+    ]
+    got = {r["doc_id"]: (r["whole_license"], r["licenses"]) for r in licenses.scan(table(spark, rows)).collect()}
+    assert got == {
+        1: ("MIT", "MIT"),
+        2: ("MIT", "MIT"),
+        3: ("MIT", "MIT"),
+        4: (None, "MIT"),
+        5: ("ISC", "ISC"),
+        6: (None, "ISC,MIT"),
+        7: ("BSD-3-Clause", "BSD-3-Clause"),
+        8: ("MIT", "MIT"),
+        9: ("Apache-2.0", "Apache-2.0"),
+        10: ("Apache-2.0", "Apache-2.0"),
+        11: (None, "Apache-2.0"),
+        12: (None, ""),
+        13: (None, ""),
+    }
+
+
 def test_archives_odd_rows(spark):
     big = "x" * 1500
     rows = [(1, big), (2, big), (3, "y" * 10), (4, "y" * 10), (5, None), (None, big), (2, big), (6, "é\r\n\r\n" * 500)]
