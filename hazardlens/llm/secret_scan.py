@@ -51,11 +51,12 @@ CLASSES = (
 )
 
 #: Candidates that are no secrets: UUIDs, runs of alphabet and digits in order, marked examples, paths of plain words.
+#: No group is repeated, as that would take stack for each time.
 ALLOWED = (
     r"\A[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z",
     r"(?i)0123456789abcdef|abcdefghijklmnop|1234567890123",
     r"(?i)example|placeholder|changeme|your[_-]|xxxx",
-    r"\A/?(?:[A-Za-z]+|[0-9]{1,4})(?:[/_-](?:[A-Za-z]+|[0-9]{1,4}))*/?\z",
+    r"\A(?![_-])(?!.*[/_-][/_-])(?!.*[A-Za-z][0-9])(?!.*[0-9][A-Za-z])(?!.*[0-9]{5})[A-Za-z0-9/_-]*[A-Za-z0-9]/?\z",
 )
 WINDOW = 20
 _CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{%d,}+"

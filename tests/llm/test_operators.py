@@ -220,6 +220,20 @@ def test_secret_scan_odd_rows(spark):
     assert secret_scan.scan(table(spark, [])).count() == 0
 
 
+def test_allowed_paths_of_any_length(spark):
+    import re
+
+    old = re.compile(r"\A/?(?:[A-Za-z]+|[0-9]{1,4})(?:[/_-](?:[A-Za-z]+|[0-9]{1,4}))*/?\Z")
+    new = re.compile(secret_scan.ALLOWED[-1].replace(r"\z", r"\Z"))
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aB12/_-+"), rng.integers(0, 9))) for _ in range(20_000)]
+    assert all(bool(old.match(w)) == bool(new.match(w)) for w in words)
+
+    long = "Aa-" + "b-1_" * 50_000 + "c"
+    got = [r["n_entropy"] for r in secret_scan.scan(table(spark, [(1, long), (2, long[:2000] + "-q7Xc9LmPz2Vb8NfR4tYw1KsD")])).collect()]
+    assert sorted(got) == [0, 1]
+
+
 def test_redaction(spark):
     rows = dict(plain(secret_scan.redact(table(spark, ODD).where("doc_id in (5, 8, 12, 13)")), "doc_id", "text"))
     assert rows[5] is None and rows[8] == "two words"
