@@ -1,9 +1,10 @@
 """Secret scans in DataFrame functions only.
 
 Three patterns find assignments, access keys and hexadecimal strings. Besides, every long run of key characters is a
-candidate: it belongs to the first character class that covers it, and a window slides over it while the counts of the
-characters in the window are kept up to date, one character in and one out, and with them the Shannon entropy. A
-candidate of which some window reaches the class's threshold is a secret, unless the allow-list knows it.
+candidate: for each character class, its longest runs of the class's characters are cut out, so that a key is found
+beside its name and whatever separates the two. A window slides over a run while the counts of the characters in the
+window are kept up to date, one character in and one out, and with them the Shannon entropy. A candidate with a run of
+which some window reaches the class's threshold is a secret, unless the allow-list knows that run.
 
 Everything is row-local: no shuffle, no Python on the executors. Work is linear in the text.
 """
@@ -26,20 +27,51 @@ _KEYWORD = "(?:[pP](?i:assword|asswd)|[sS](?i:ecret)|[tT](?i:oken)|[aA](?i:pi_?k
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """An alphabet (upper case is folded where ``fold``), what a candidate must hold, and the entropy that tells."""
+    """An alphabet (upper case is folded where ``fold``), what a run must hold, and the entropy that tells.
+
+    ``runs`` are the characters that runs are made of, each cut out on its own; without any the candidate is the run.
+    What ``apart`` matches is no part of a run.
+    """
 
     name: str
     alphabet: str
     fold: bool
     covers: str
     least_bits: float
+    runs: tuple[str, ...] = ()
+    apart: str = ""
 
 
+_UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_MIXED = "(?:[0-9][A-Za-z]|[A-Za-z][0-9])"
+
 #: Tried in this order. Runs of letters alone belong to none: they are words.
 CLASSES = (
-    CharacterClass("hex", "0123456789abcdef", True, r"\A(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)\z", 3.0),
     CharacterClass(
-        "base36", "0123456789abcdefghijklmnopqrstuvwxyz", True, r"\A(?=.*[0-9].*[0-9])(?=.*[A-Za-z])(?:[0-9a-z]+|[0-9A-Z]+)\z", 3.6
+        "hex",
+        "0123456789abcdef",
+        True,
+        r"\A(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)\z",
+        3.0,
+        ("[0-9a-f]", "[0-9A-F]"),
+    ),
+    CharacterClass(
+        "base36",
+        "0123456789abcdefghijklmnopqrstuvwxyz",
+        True,
+        r"\A(?=.*[0-9].*[0-9])(?=.*[A-Za-z])(?:[0-9a-z]+|[0-9A-Z]+)\z",
+        3.6,
+        ("[0-9a-z]", "[0-9A-Z]"),
+    ),
+    # One case with separators: letters and digits meet in three places at least, unlike in dates and titles.
+    CharacterClass(
+        "separated",
+        "0123456789abcdefghijklmnopqrstuvwxyz+/_-",
+        True,
+        rf"\A(?=.*{_MIXED}.*{_MIXED}.*{_MIXED})(?:[0-9a-z+/_-]+|[0-9A-Z+/_-]+)\z",
+        3.9,
+        ("[0-9a-z+/_-]", "[0-9A-Z+/_-]"),
+        rf"(?<![0-9A-Za-z]){_UUID}(?![0-9A-Za-z])",
     ),
     CharacterClass(
         "base64",
@@ -47,13 +79,14 @@ CLASSES = (
         False,
         r"\A(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/=_-]+\z",
         3.9,
+        ("[A-Za-z0-9+/=_-]", "[A-Za-z0-9+/_-]", "[A-Za-z0-9+]"),
     ),
 )
 
-#: Candidates that are no secrets: UUIDs, runs of alphabet and digits in order, marked examples, paths of plain words.
+#: Runs that are no secrets: UUIDs, runs of alphabet and digits in order, marked examples, paths of plain words.
 #: No group is repeated, as that would take stack for each time.
 ALLOWED = (
-    r"\A[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z",
+    rf"\A{_UUID}\z",
     r"(?i)0123456789abcdef|abcdefghijklmnop|1234567890123",
     r"(?i)example|placeholder|changeme|your[_-]|xxxx",
     r"\A(?![_-])(?!.*[/_-][/_-])(?!.*[A-Za-z][0-9])(?!.*[0-9][A-Za-z])(?!.*[0-9]{5})[A-Za-z0-9/_-]*[A-Za-z0-9]/?\z",
@@ -134,14 +167,27 @@ def window_entropy(candidate: Column, kind: CharacterClass, window: int) -> Colu
 
 
 def _tells(window: int, classes, allowed):
+    def unknown(run: Column) -> Column:
+        known = F.lit(False)
+        for pattern in allowed:
+            known = known | run.rlike(pattern)
+        return ~known
+
+    def tells(found: Column, kind: CharacterClass) -> Column:
+        """Whether a run of the class's characters, at least a window long, is a secret."""
+        text = F.regexp_replace(found, F.lit(kind.apart), F.lit(" ")) if kind.apart else found
+        runs = [F.regexp_extract_all(text, F.lit(f"{r}{{{window},}}+"), F.lit(0)) for r in kind.runs]
+        runs = F.array_distinct(F.concat(*runs)) if runs else F.array(text)
+        return F.exists(
+            F.filter(runs, lambda run: run.rlike(kind.covers) & unknown(run)),
+            lambda run: window_entropy(run, kind, window) >= kind.least_bits,
+        )
+
     def keep(found: Column) -> Column:
         high = F.lit(False)
         for kind in reversed(classes):
-            high = F.when(found.rlike(kind.covers), window_entropy(found, kind, window) >= kind.least_bits).otherwise(high)
-        known = F.lit(False)
-        for pattern in allowed:
-            known = known | found.rlike(pattern)
-        return F.when(known, False).otherwise(high)
+            high = F.when(tells(found, kind), True).otherwise(high)
+        return high
 
     return keep
 
