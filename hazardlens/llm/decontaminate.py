@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import file_system, hash_filter, new_path, save, ship, split_by_ids
+from hazardlens.llm.storage import ROW, file_system, hash_filter, new_path, save, ship, split_by_ids
 
 #: Words of a window, and windows that a task holds at a time.
 WINDOW, WINDOWS_AT_ONCE = 13, 1 << 15
@@ -238,9 +238,12 @@ def decontaminate(
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id has no contaminated text; rows without an id stay."""
-    found = decontaminate(docs, items, id_col, text_col, **options)
-    gone = found.where("contaminated and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    gone = save(gone, "contaminated")
-    sure, others = split_by_ids(docs, gone, id_col)
-    return sure.union(others.join(gone, id_col, "left_anti").select(docs.columns))
+    """The rows of ``docs``, with all their columns, whose text is not contaminated; rows without an id stay.
+
+    Rows are told apart by a number they are saved with.
+    """
+    rows = save(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = decontaminate(rows.where(F.col(id_col).isNotNull()), items, ROW, text_col, **options)
+    gone = save(found.where("contaminated").select(F.col("doc_id").alias(ROW)), "contaminated")
+    sure, others = split_by_ids(rows, gone, ROW)
+    return sure.select(docs.columns).union(others.join(gone, ROW, "left_anti").select(docs.columns))

@@ -30,7 +30,7 @@ from pyspark.sql.window import Window as W
 
 from hazardlens.llm import words as wd
 from hazardlens.llm.components import connected_components
-from hazardlens.llm.storage import hash_filter, save, ship, split_by_ids
+from hazardlens.llm.storage import ROW, hash_filter, save, ship, split_by_ids
 
 #: Most entries of the list of frequent shingles, and the shingles of a text part counted at once.
 FREQUENT, COUNTED = 1 << 19, 1 << 22
@@ -343,18 +343,16 @@ def jaccard_components(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of one document per component: that with the smallest id.
+    """The rows of ``docs``, with all their columns, of one row per component: of those with the smallest id, one.
 
-    An id names one document: of rows that repeat it one stays. Rows without an id stay; rows without words are linked
-    with nothing and stay.
+    Rows are told apart by a number they are saved with, so rows that repeat an id with different texts are documents
+    of their own. Rows without an id stay; rows without words are linked with nothing and stay.
     """
-    found = save(jaccard_components(docs, id_col, text_col, **options), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    repeated = (
-        found.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").drop("count")
-    )
-    sure, others = split_by_ids(docs, gone.union(repeated), id_col)
-    kept = others.join(gone, id_col, "left_anti").select(docs.columns)
-    single = kept.join(repeated, id_col, "left_anti").select(docs.columns)
-    one = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
-    return sure.union(single).union(one)
+    rows = save(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows, ROW, text_col, **options).select(F.col("doc_id").alias(ROW), "component_id")
+    ids = rows.select(ROW, F.col(id_col).cast("long").alias("id")).where("id is not null")
+    found = save(found.join(ids, ROW), "components")
+    stay = found.groupBy("component_id").agg(F.min(F.struct("id", ROW))[ROW].alias(ROW)).select(ROW)
+    gone = save(found.select(ROW).join(stay, ROW, "left_anti"), "gone")
+    sure, others = split_by_ids(rows, gone, ROW)
+    return sure.select(docs.columns).union(others.join(gone, ROW, "left_anti").select(docs.columns))

@@ -13,6 +13,9 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The column that numbers the rows of a table while rows are dropped from it.
+ROW = "_row_of_table"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where it is unset, as in tests, one temporary folder per context."""

@@ -94,6 +94,19 @@ def test_drop_near_copies_keeps_one(spark):
     assert all(ids[k] == 1 for k in (5, 6, 7, 8, 10))
 
 
+def test_rows_that_share_an_id_with_other_texts(spark):
+    other = " ".join(f"v{i}" for i in range(120))
+    rows = [(5, BASE), (5, other), (3, other.replace("v60 ", "x60 ")), (7, BASE.replace("w60 ", "x60 "))]
+    rows += [(8, "some clean text of its own"), (8, "another clean text of its own"), (9, "same text"), (9, "same text")]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.drop_near_copies(table(spark, rows)).collect()]
+    assert sorted(kept) == sorted([rows[0], rows[2], rows[4], rows[5], rows[6]])
+
+    items = spark.createDataFrame([(1, BASE)], "item_id long, text string")
+    rows = [(5, BASE), (5, other), (6, other), (7, BASE), (None, BASE)]
+    kept = [(r["doc_id"], r["text"]) for r in decontaminate.drop_contaminated(table(spark, rows), items).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[4]], key=str)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 100), (7, 7)]
     got = dict(plain(connected_components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
