@@ -8,6 +8,7 @@ by hash before any content is read, so that one crowded directory does not becom
 from __future__ import annotations
 
 import os
+import stat
 import sys
 from collections.abc import Iterator
 
@@ -48,16 +49,17 @@ class _TreeReader(DataSourceReader):
         """Open directories breadth first until there are ``units`` subtrees; only directory names are kept."""
         if not self.recursive or not os.path.isdir(self.root):
             return [_Subtree(self.root, False)]
-        flat, subtrees = [], [self.root]
-        while subtrees and len(flat) + len(subtrees) < self.units:
+        flat, unopened, subtrees = [], [], [self.root]
+        while subtrees and len(flat) + len(unopened) + len(subtrees) < self.units:
             opened = subtrees.pop(0)
-            flat.append(opened)
             try:
                 with os.scandir(opened) as entries:
                     subtrees += sorted(e.path for e in entries if e.is_dir(follow_symlinks=False))
             except OSError:
-                continue  # the task that lists this directory reports it
-        return [_Subtree(p, False) for p in flat] + [_Subtree(p, True) for p in subtrees]
+                unopened.append(opened)  # the task that lists this directory reports it, or lists it whole
+            else:
+                flat.append(opened)
+        return [_Subtree(p, False) for p in flat] + [_Subtree(p, True) for p in unopened + subtrees]
 
     def read(self, partition: _Subtree) -> Iterator[pa.RecordBatch]:
         """Paths with sizes, in batches; a missing path or unreadable directory is a row with a reason."""
@@ -72,7 +74,10 @@ class _TreeReader(DataSourceReader):
 
     def _list(self, path: str, recursive: bool) -> Iterator[tuple]:
         if os.path.isfile(path):  # a file named directly is taken whatever its extension
-            yield path, os.path.getsize(path), None
+            try:
+                yield path, os.path.getsize(path), None
+            except OSError as error:
+                yield path, None, _reason(error)
             return
         pending = [path]
         while pending:
@@ -80,15 +85,25 @@ class _TreeReader(DataSourceReader):
             try:
                 with os.scandir(here) as entries:
                     for e in entries:
-                        if e.is_dir(follow_symlinks=False):
-                            if recursive:
-                                pending.append(e.path)
-                        elif e.is_file() and _extension(e.name) in self.extensions:
-                            yield e.path, e.stat().st_size, None
-            except FileNotFoundError:
-                yield here, None, "not_found"
+                        try:
+                            if e.is_dir(follow_symlinks=False):
+                                if recursive:
+                                    pending.append(e.path)
+                                continue
+                            if _extension(e.name) not in self.extensions:
+                                continue
+                            found = e.stat()  # of a link, its target
+                        except OSError as error:  # of this entry only: the others are still listed
+                            yield e.path, None, _reason(error)
+                            continue
+                        if stat.S_ISREG(found.st_mode):
+                            yield e.path, found.st_size, None
             except OSError as error:
-                yield here, None, f"not_listed: {error.strerror}"
+                yield here, None, _reason(error)
+
+
+def _reason(error: OSError) -> str:
+    return "not_found" if isinstance(error, FileNotFoundError) else f"not_listed: {error.strerror}"
 
 
 def _listing_batch(rows: list[tuple]) -> pa.RecordBatch:
