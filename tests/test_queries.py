@@ -1,14 +1,13 @@
 import os
 
 import pytest
-from conftest import SF_DIR
 
 import __spark_entry__ as entry
 from check import compare, connect
 from hazardlens.functions.rules import master_pattern
 from hazardlens.plans.catalog import QUERIES
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+pytestmark = pytest.mark.skipif(not os.path.isdir(entry.SMOKE_DIR), reason="no test tables")
 
 
 def test_entry(spark):
