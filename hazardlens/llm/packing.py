@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import tokens
-from hazardlens.llm import words as wd
 from hazardlens.llm.storage import save, ship
 
 #: Pieces of a shard, islands of a shard, rounds in which elites migrate, groupings of a population, generations.
@@ -153,23 +152,19 @@ def _pack_level(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
 
 def _pieces(capacity: int, vocabulary: str, remembered: int):
     def run(batches):
-        encoder, end = tokens.encoder(vocabulary, remembered), np.array([END_ID], dtype="<u4").tobytes()
-        for batch in batches:
-            for part in wd.slices(batch):
-                rows = [], [], [], [], []
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-                    ids += end
-                    for k, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        piece = ids[start : start + 4 * capacity]
-                        row = name, k, start // 4, len(piece) // 4, zlib.crc32(piece)
-                        for column, value in zip(rows, row, strict=True):
-                            column.append(value)
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names
-                )
+        end = np.array([END_ID], dtype="<u4")
+        for part, found in tokens.encoded(batches, vocabulary, remembered):
+            rows = [], [], [], [], []
+            for name, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
+                ids = np.append(ids, end)
+                for k, start in enumerate(range(0, len(ids), capacity)):
+                    piece = ids[start : start + capacity]
+                    row = name, k, start, len(piece), zlib.crc32(piece)
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names)
 
     return run
 
@@ -186,8 +181,8 @@ def pack(
 
     A text's ids are the tokenizer's and then id 1; only longer ones are cut, every ``capacity`` ids. A null or empty
     text is the end id alone. Rows that repeat an id, or have none, are packed as rows of their own. An empty table
-    gives no rows. Other columns are not looked at. ``remembered`` words, and as many older ones, are kept in each
-    worker: fewer take less memory and more time.
+    gives no rows. Other columns are not looked at. Each task remembers ids of words in ``remembered``
+    bytes: fewer take less memory and more time.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.llm import (
+    bpe,
     decontaminate,
     jaccard,
     langid,
@@ -76,6 +77,17 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_bpe_encoding(spark, sf_dir):
+    """Digests of the ids of all documents, and of the texts that these ids decode to."""
+    found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -87,6 +99,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_bpe_encoding": op12_bpe_encoding,
 }
 
 ORACLES: dict[str, str] = {}

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.llm import tokens
-from hazardlens.llm import words as wd
 from hazardlens.llm.storage import file_system, ship
 
 MAGIC, HEAD = b"TKB1", "<4sIIQQQ"
@@ -111,8 +110,8 @@ def _write(folder: str, vocabulary: str, end_id: int):
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, end = tokens.encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
-        bits = width(max(encoder.size, end_id + 1))
+        end = np.array([end_id], dtype="<u4")
+        bits = width(max(tokens.encoder(vocabulary).size, end_id + 1))
         fs, path = file_system(folder)
         task, number = TaskContext.get().partitionId(), 0
         names, counts, held, size = [], [], [], 0
@@ -121,7 +120,7 @@ def _write(folder: str, vocabulary: str, end_id: int):
             # The name is this attempt's own: a repeated task never touches a file that another one has reported.
             name = f"ids-{task:06d}-{number:04d}-{uuid.uuid4().hex[:12]}.tkb"
             with fs.open_output_stream(f"{path}/{name}") as out:
-                for part in file_bytes(names, counts, np.frombuffer(b"".join(held), dtype="<u4"), bits):
+                for part in file_bytes(names, counts, np.concatenate(held), bits):
                     out.write(part)
             row = [name], [task], [number], [len(names)], [size]
             return pa.RecordBatch.from_arrays(
@@ -129,18 +128,16 @@ def _write(folder: str, vocabulary: str, end_id: int):
                 ["file", "task", "number", "n_docs", "n_ids"],
             )
 
-        for batch in batches:
-            for part in wd.slices(batch):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-                    names.append(name)
-                    held.append(ids + end)
-                    counts.append(len(held[-1]) // 4)
-                    size += counts[-1]
-                    if size >= FILE_IDS:
-                        yield close()
-                        number += 1
-                        names, counts, held, size = [], [], [], 0
+        for part, found in tokens.encoded(batches, vocabulary):
+            for name, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
+                names.append(name)
+                held += [ids, end]
+                counts.append(len(ids) + 1)
+                size += counts[-1]
+                if size >= FILE_IDS:
+                    yield close()
+                    number += 1
+                    names, counts, held, size = [], [], [], 0
         if names:
             yield close()
 

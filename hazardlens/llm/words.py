@@ -38,7 +38,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column end to end, and where each text begins (one more entry: the end); null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if binary else pa.large_string()).fill_null(b"" if binary else "")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):

@@ -6,11 +6,13 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
 from hazardlens.llm import (
+    bpe,
     decontaminate,
     jaccard,
     langid,
@@ -147,19 +149,85 @@ def test_proximity(spark):
     assert got == {1: (4, 0), 2: (0, 1), 3: (0, 0)}
 
 
-def test_encoder_equals_library():
-    encoder = tokens.Encoder(tokens.VOCABULARY)
+STRANGE = [
+    "İstanbul ΣΑΣ, ß ﬁ éte. x <|endoftext|>z ... ,, ²",
+    "A\u00a0b",
+    "\tA\u2028B\u0085c",
+    "x" * 1000 + "é" * 500,
+    "thequickbrownfox" * 40,
+    "a\u0301\u0338 ᾫ \u0301x",
+    "漢字 カタカナ ١٢٣ 😀😀 it's I'LL don'ts",
+    "<|startoftext|><|endoftext|>a<|startoftext|> <|ENDOFTEXT|>",
+    "x\x1cy\x0bz \x00",
+    "ab" * 5000,
+]
+
+
+def library_ids(texts):
+    from tokenizers import Tokenizer
+
+    return [Tokenizer.from_file(tokens.VOCABULARY).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("kind", [tokens.Encoder, bpe.RankEncoder])
+def test_encoder_equals_library(kind):
+    encoder = kind(tokens.VOCABULARY)
     assert encoder.cuts
-    texts = [t or "" for _, t in ODD] + ["İstanbul ΣΑΣ, ß ﬁ éte. x <|endoftext|>z ... ,, ²", "A b", "\tA B"]
-    for _ in range(2):
-        assert encoder.encode(texts) == encoder._whole(texts)
+    texts = [t or "" for _, t in ODD] + STRANGE
+    want = library_ids(texts)
+    for cuts, remembered in ((True, 1 << 20), (True, 0), (False, 0)):
+        encoder.cuts, encoder.remembered = cuts, remembered
+        for _ in range(2):
+            assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_ranks_of_another_file(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    encoder, library = bpe.RankEncoder(path), Tokenizer.from_file(path)
+    texts = [t or "" for _, t in ODD] + STRANGE
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+
+
+def test_long_pieces_merge_as_short_ones():
+    encoder = bpe.RankEncoder(tokens.VOCABULARY)
+    rng = np.random.default_rng(3)
+    pieces = [bytes(rng.choice(list(b"abethinro"), rng.integers(1, 64)).tolist()) for _ in range(400)]
+    ids, lengths = encoder.merge(pieces)
+    at = 0
+    for piece, n in zip(pieces, lengths.tolist(), strict=True):
+        parts = encoder.inner[np.frombuffer(piece, dtype=np.uint8)]
+        parts[-1] = encoder.final[piece[-1]]
+        assert encoder.merge_long(parts).tolist() == ids[at : at + n].tolist()
+        at += n
+
+
+def test_bpe_odd_rows(spark):
+    from tokenizers import Tokenizer
+
+    rows = ODD + list(enumerate(STRANGE, 50))
+    library = Tokenizer.from_file(tokens.VOCABULARY)
+    ids = library_ids([t or "" for _, t in rows])
+    want = [
+        (i, np.array(x, dtype="<u4").tobytes(), library.decode(x, skip_special_tokens=False))
+        for (i, _), x in zip(rows, ids, strict=True)
+    ]
+    got = bpe.decode(bpe.encode(table(spark, rows)))
+    assert sorted(((r[0], bytes(r[1]), r[2]) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert bpe.decode(bpe.encode(table(spark, []))).count() == 0
+    unknown = spark.createDataFrame([(1, np.array([273, 1 << 30], dtype="<u4").tobytes()), (2, None)], "doc_id long, ids binary")
+    assert [r["decoded"] for r in bpe.decode(unknown).orderBy("doc_id").collect()] == ["2</w>", ""]
 
 
 def piece_rows(rows, capacity, end):
-    encoder = tokens.Encoder(tokens.VOCABULARY)
     out = []
-    for i, t in rows:
-        ids = encoder._whole([t or ""])[0] + np.array([end], dtype="<u4").tobytes()
+    for (i, _), ids in zip(rows, library_ids([t or "" for _, t in rows]), strict=True):
+        ids = np.array([*ids, end], dtype="<u4").tobytes()
         for k, a in enumerate(range(0, len(ids), 4 * capacity)):
             p = ids[a : a + 4 * capacity]
             out.append((i, k, a // 4, len(p) // 4, zlib.crc32(p)))
