@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hazardlens.llm import decontaminate, jaccard, packing, secret_scan, toxicity
 from hazardlens.llm.storage import save
 
-REMEMBERED = 50_000
+REMEMBERED = 32 << 20
 #: No stage but the fourth can be said in SQL; the tests hold the result against brute force.
 ORACLE_SQL = None
 
@@ -41,7 +41,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens.
 
-    Workers that also serve the other stages remember fewer words.
+    Workers that also serve the other stages remember less.
     """
     return packing.pack(docs, remembered=REMEMBERED)
 
