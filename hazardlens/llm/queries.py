@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.llm import (
     bpe,
+    collocations,
     decontaminate,
     jaccard,
     langid,
@@ -77,6 +78,11 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    """The 2000 phrases of two or three words of each language whose words belong together most."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_bpe_encoding(spark, sf_dir):
     """Digests of the ids of all documents, and of the texts that these ids decode to."""
     found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
@@ -99,7 +105,48 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_exact_topk": op9_exact_topk,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_bpe_encoding": op12_bpe_encoding,
 }
 
-ORACLES: dict[str, str] = {}
+_PHRASES_SQL = r"""
+WITH lines AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS line
+    FROM documents),
+w AS (SELECT lang, regexp_extract_all(line, '[^\x20\x09]+') AS w FROM lines),
+grams AS (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    FROM w),
+f AS (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS p, c AS a FROM f WHERE size > 1 AND c >= 10),
+cuts AS (
+    SELECT *, array_to_string(p[1:k], ' ') AS head, array_to_string(p[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+scored AS (
+    SELECT cuts.lang, cuts.phrase, a, k, x.c AS l, y.c AS r,
+           (1000000::HUGEINT * a * a) // (x.c::HUGEINT * y.c) AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.head
+              JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.tail),
+lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, a AS outer_a, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS phrase FROM cand WHERE size = 3),
+kept AS (
+    SELECT * FROM lowest
+    WHERE NOT EXISTS (
+        SELECT 1 FROM inside WHERE inside.lang = lowest.lang AND inside.phrase = lowest.phrase AND 100 * outer_a >= 50 * a)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op11_phrase_collocations": _PHRASES_SQL}

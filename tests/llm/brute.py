@@ -144,3 +144,78 @@ def top_k(vectors, k=10, every=100):
         found = [(-sum(a * b for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q)]
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(found)[:k])]
     return out
+
+
+def collocations(rows, most=3, least=10, covered=50, top=2000):
+    """``rows``: (lang, text). Returns (lang, rank, phrase, a, l, r, n, score)."""
+    from collections import Counter, defaultdict
+
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for size in range(1, most + 1):
+                f[lang].update(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
+    out = []
+    for lang, counts in f.items():
+        found = []
+        longer = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        gone = set()
+        for p, a in longer.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    if 100 * a >= covered * counts[p[i : i + size]]:
+                        gone.add(p[i : i + size])
+        for p, a in longer.items():
+            if p not in gone:
+                cuts = [(counts[p[:k]], counts[p[k:]]) for k in range(1, len(p))]
+                score, _, x, y = min((1000000 * a * a // (x * y), k, x, y) for k, (x, y) in enumerate(cuts))
+                found.append((-score, -a, " ".join(p).encode(), x, y))
+        for rank, (score, a, phrase, x, y) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, x, y, n[lang], -score))
+    return out
+
+
+def conversation_trie(rows):
+    """``rows``: (conv_id, turn, role, text). Returns the columns of the nodes."""
+    import hashlib
+    import zlib
+    from collections import defaultdict
+
+    turns = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            turns[c].append((t is not None, t or 0, digest, role, text))
+    own = {c: [(role, text) for *_, role, text in sorted(v)] for c, v in turns.items()}
+    full = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        full[c] = tuple(own.get(c - c % 100, [])[:h] + own[c][h:])
+    members = defaultdict(list)
+    for c, path in full.items():
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    children = defaultdict(list)
+    for path in members:
+        if path:
+            children[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        below = children[path]
+        leaves[path] = sum(leaves[b] for b in below) if below else 1
+        own_saved = (len(members[path]) - 1) * len(path[-1][1]) if path else 0
+        saved[path] = own_saved + sum(saved[b] for b in below)
+    out = []
+    for path, ids in members.items():
+        ends = ",".join(str(c) for c in sorted(ids) if len(full[c]) == len(path))
+        parent = min(members[path[:-1]]) if path else None
+        out.append((
+            min(ids), len(path), parent, len(ids), len(children[path]), leaves[path], saved[path],
+            hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return out

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from hazardlens.llm import (
     bpe,
+    collocations,
     decontaminate,
     jaccard,
     langid,
     licenses,
+    lookup,
     packing,
     secret_scan,
     token_files,
@@ -27,7 +29,7 @@ from hazardlens.llm import (
 )
 from hazardlens.llm.components import connected_components
 from hazardlens.llm.queries import QUERIES
-from hazardlens.llm.storage import hash_filter, new_path
+from hazardlens.llm.storage import HashFilter, hash_filter, new_path
 
 DOCS = "doc_id long, text string, lang string, n long, cls long, key string"
 
@@ -207,6 +209,62 @@ def test_long_pieces_merge_as_short_ones():
         at += n
 
 
+PHRASES = [
+    ("en", "New York, new york. the new york times; the NEW york times"),
+    ("en", "the new york times the new\tyork"),
+    (None, "the new york times"),
+    ("en", None),
+    (None, "a b a b a b a b! é à é à"),
+    ("", "a b a b"),
+    ("en", ""),
+    ("fr", " \n.,; "),
+    ("en", "x " * 400 + "y. " + "z" * 3000),
+    ("en", "the new york times the new\tyork"),
+]
+
+
+@pytest.mark.parametrize("sample", [0.0, 0.5, 1.0])
+def test_collocations_odd_rows(spark, monkeypatch, sample):
+    monkeypatch.setattr(collocations, "PROPOSES", 1)
+    monkeypatch.setattr(lookup, "LEAST", 1)
+    monkeypatch.setattr(lookup, "HOT", 4)
+    monkeypatch.setattr(collocations, "FILTER_BITS", 16)
+    rows = spark.createDataFrame([(x, t, 1, "h", 2) for x, t in PHRASES], "lang string, text string, n long, hash string, size int")
+    got = collocations.collocations(rows, most=4, least=2, covered=60, top=50, sample=sample)
+    want = brute.collocations(PHRASES, most=4, least=2, covered=60, top=50)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    if sample == 0.5:
+        assert collocations.collocations(rows.limit(0)).count() == 0
+
+
+def test_phrases_of_segments(monkeypatch):
+    """Every border, cut into segments of any size, counts each phrase once over the passes."""
+    from collections import Counter
+
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("ab c. \n"), 4000))
+    want = Counter()
+    for piece in text.replace("\n", ".").split("."):
+        w = piece.split()
+        want.update(" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    full = HashFilter(np.full(8192, 255, dtype=np.uint8), 16)
+    half = HashFilter(rng.integers(0, 256, 8192, dtype=np.uint8), 16)
+    for size in (7, 100, 1 << 20):
+        monkeypatch.setattr(collocations, "SLICE", size)
+        got = Counter()
+        for border in (
+            collocations.Border(3, {1: half, 2: half}, {}, True),
+            collocations.Border(3, {1: full, 2: half}, {1: half, 2: half}, False),
+            collocations.Border(3, {1: full, 2: full}, {1: full, 2: half}, False),
+        ):
+            for data in collocations._segments(pa.array([text])):
+                for k, phrases, _, counts in collocations.count_segment(data, "en", border):
+                    if k:
+                        for p, c in zip(phrases.to_pylist(), counts.tolist(), strict=True):
+                            got[p] += c
+        assert got == want
+
+
 def test_bpe_odd_rows(spark):
     from tokenizers import Tokenizer
 
