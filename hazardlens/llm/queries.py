@@ -17,6 +17,7 @@ from hazardlens.llm import (
     token_files,
     topk,
     toxicity,
+    trie,
     warc,
 )
 from hazardlens.llm.storage import new_path
@@ -94,6 +95,11 @@ def op12_bpe_encoding(spark, sf_dir):
     )
 
 
+def op13_conversation_trie(spark, sf_dir):
+    """The nodes of the prefix trie of all conversations, with totals of their subtrees."""
+    return trie.prefix_trie(*trie.turn_paths(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -107,6 +113,7 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_phrase_collocations": op11_phrase_collocations,
     "op12_bpe_encoding": op12_bpe_encoding,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _PHRASES_SQL = r"""
@@ -149,4 +156,54 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op11_phrase_collocations": _PHRASES_SQL}
+_TRIE_SQL = """
+WITH crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS t),
+turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT c, c - c % 100 AS base,
+           xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+               lambda s, b: xor(s // 256, t[xor(s, b) % 256 + 1]), 4294967295), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT c FROM turns), crc),
+given AS (SELECT convs.c, role, text, i FROM convs JOIN turns ON turns.c = base AND i <= h),
+heads AS (SELECT c, count(*) AS b FROM given GROUP BY c),
+path AS (
+    SELECT * FROM given
+    UNION ALL
+    SELECT turns.c, role, text, i - h + coalesce(b, 0)
+    FROM turns JOIN convs ON convs.c = turns.c LEFT JOIN heads ON heads.c = turns.c WHERE i > h),
+steps AS (
+    SELECT c, i AS d, length(text) AS n,
+           sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '')
+               OVER (PARTITION BY c ORDER BY i)) AS node
+    FROM path
+    UNION ALL
+    SELECT c, 0, 0, '' FROM convs),
+ends AS (SELECT c, max(d) AS last FROM steps GROUP BY c),
+nodes AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+           sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = last), '')) AS ends_sha256
+    FROM steps JOIN ends USING (c) GROUP BY node, d),
+linked AS (
+    SELECT nodes.*, up.node AS parent, upper.conv_id AS parent_conv_id
+    FROM nodes LEFT JOIN steps up ON up.c = nodes.conv_id AND up.d = nodes.d - 1
+               LEFT JOIN nodes upper ON upper.node = up.node AND upper.d = up.d),
+children AS (SELECT parent, d - 1 AS d, count(*) AS k FROM linked WHERE d > 0 GROUP BY ALL),
+counted AS (
+    SELECT linked.*, coalesce(k, 0) AS n_children
+    FROM linked LEFT JOIN children ON children.parent = linked.node AND children.d = linked.d),
+totals AS (
+    SELECT steps.node, steps.d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+           sum((n_convs - 1) * counted.n) AS saved_tokens
+    FROM counted JOIN steps ON steps.c = counted.conv_id AND steps.d <= counted.d GROUP BY ALL)
+SELECT conv_id, counted.d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN totals ON totals.node = counted.node AND totals.d = counted.d
+"""
+
+ORACLES: dict[str, str] = {"op11_phrase_collocations": _PHRASES_SQL, "op13_conversation_trie": _TRIE_SQL}

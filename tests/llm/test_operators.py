@@ -25,6 +25,7 @@ from hazardlens.llm import (
     tokens,
     topk,
     toxicity,
+    trie,
     warc,
 )
 from hazardlens.llm.components import connected_components
@@ -539,6 +540,68 @@ def toxic_tables(spark):
     return rows, spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
+def odd_turns():
+    rng = np.random.default_rng(4)
+    rows = [(c, t, "user", f"é{rng.integers(0, 2)}" * (t + 1)) for c in range(0, 240, 3) for t in range(int(rng.integers(0, 9)))]
+    rows += [(100, t, "u", f"base {t}") for t in range(3)]
+    rows += [(400 + c, t, "u", f"deep {min(t, c)}") for c in range(4) for t in range(40)]
+    rows += [(500, None, None, None), (500, None, "u", "x"), (500, 0, None, "x"), (500, 0, "u", None), (501, 1, "", "")]
+    rows += [(None, 1, "u", "no conversation"), (502, 5, "u", "same"), (502, 5, "u", "same"), (502, 5, "u", "other")]
+    return rows + [(503, 1, "u", "long " * 30_000), (504, 7, "u", ""), (505, 7, "user", "same"), (505, 7, "use", "rsame")]
+
+
+TURNS = "conv_id long, turn long, role string, text string, x long, depth int, conv string"
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_trie_odd_rows(spark, monkeypatch, small):
+    if small:
+        for name, value in (("LEVELS", 3), ("SHARD", 20), ("QUEUE", 2), ("CHUNK", 4), ("RANGE", 25)):
+            monkeypatch.setattr(trie, name, value)
+        monkeypatch.setattr(lookup, "LEAST", 1)
+    rows = odd_turns()
+    table = spark.createDataFrame([(*r, 1, 2, "k") for r in rows], TURNS).repartition(3)
+    got = [tuple(r) for r in trie.prefix_trie(*trie.turn_paths(table)).collect()]
+    assert sorted(got, key=str) == sorted(brute.conversation_trie(rows), key=str)
+    if not small:
+        assert trie.prefix_trie(*trie.turn_paths(table.limit(0))).count() == 0
+
+
+def test_trie_of_turnless_conversations(spark):
+    """Conversations that lose all their turns end at the root."""
+    rows = [(c, 1, "u", "t") for c in range(1, 60)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [tuple(r) for r in trie.prefix_trie(*trie.turn_paths(table)).collect()]
+    assert sorted(got, key=str) == sorted(brute.conversation_trie(rows), key=str)
+
+
+def test_spilling_queue(tmp_path):
+    import os
+
+    rng = np.random.default_rng(6)
+    queue = trie.SpillingQueue(str(tmp_path / "q"), 10)
+    messages = [tuple(rng.integers(-3, 3, 5).tolist()) for _ in range(500)]
+    for m in messages[:300]:
+        queue.push(m)
+    got = [queue.pop() for _ in range(50)]
+    for m in messages[300:]:
+        queue.push(m)
+    assert len(queue.runs) > 10
+    while queue.least() is not None:
+        got.append(queue.pop())
+
+    def sums(rows):
+        out = collections.defaultdict(lambda: [0, 0])
+        for *key, a, b in rows:
+            out[tuple(key)][0] += a
+            out[tuple(key)][1] += b
+        return dict(out)
+
+    assert sums(got) == sums(messages)
+    queue.close()
+    assert not os.path.exists(tmp_path / "q")
+
+
 def test_toxicity(spark):
     rows, labels = toxic_tables(spark)
     extra = [(-1, None), (-2, ""), (-3, "..."), (None, "You vile gremlin.")]
