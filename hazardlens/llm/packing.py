@@ -3,10 +3,9 @@
 A chromosome is a grouping: each gene a whole bin. Crossover injects some of the fullest bins of one parent into
 another, removes the bins that hold a document now present twice, and places the displaced documents best-fit,
 longest first. Pieces are dealt into shards of bounded size; each shard evolves on several islands with seeds of
-their own, and the last round of a shard starts from the best groupings, the elites, of all islands. That merge is the
-only migration with ``MIGRATIONS`` = 1, as set; with more rounds each island's elite also migrates to the next island
-between them. Bins that are not nearly full are then broken up: their pieces, from all shards, are dealt anew and evolve
-once more.
+their own, in rounds. After a round the best grouping of each island, its elite, migrates to the next island, which
+starts the next round from it and its own; the last round of a shard starts from the elites of all islands. Bins that
+are not nearly full are then broken up: their pieces, from all shards, are dealt anew and evolve once more.
 
 Only piece numbers and lengths are shuffled, never texts or ids.
 """
@@ -25,8 +24,8 @@ from pyspark.sql import functions as F
 from hazardlens.llm import tokens
 from hazardlens.llm.storage import save, ship
 
-#: Pieces of a shard, islands of a shard, rounds in which elites migrate, groupings of a population, generations.
-SHARD, ISLANDS, MIGRATIONS, POPULATION, GENERATIONS = 1024, 2, 1, 4, 6
+#: Pieces of a shard, islands of a shard, rounds that elites migrate between, groupings of a population, generations.
+SHARD, ISLANDS, ROUNDS, POPULATION, GENERATIONS = 1024, 2, 3, 6, 8
 #: Share of a sequence from which a bin counts as full; other bins are broken up and dealt anew once.
 FULL = 0.98
 END_ID = 1
@@ -84,8 +83,13 @@ def crossover(one: Grouping, two: Grouping, lengths: np.ndarray, capacity: int,
     return child
 
 
-def evolve(lengths: np.ndarray, elites: list[np.ndarray], capacity: int, seed: int) -> Grouping:
-    """The best grouping found; it needs no more bins than any elite or best-fit decreasing."""
+def evolve(
+    lengths: np.ndarray, elites: list[np.ndarray], capacity: int, seed, generations: int = GENERATIONS
+) -> Grouping:
+    """The best grouping found; it needs no more bins than any elite or best-fit decreasing.
+
+    Generations end early only when no grouping can need fewer bins.
+    """
     rng = np.random.default_rng(seed)
     falling = np.lexsort((np.arange(len(lengths)), -lengths)).tolist()
     least = -(-int(lengths.sum()) // capacity)
@@ -95,10 +99,10 @@ def evolve(lengths: np.ndarray, elites: list[np.ndarray], capacity: int, seed: i
         for i, k in enumerate(elite.tolist()):
             bins.setdefault(k, []).append(i)
         population.append(Grouping(list(bins.values()), lengths))
-    while len(population) < POPULATION:
+    while len(population) < max(POPULATION, len(elites) + 2):
         shaken = -lengths * rng.uniform(0.8, 1.2, len(lengths))
         population.append(packed(np.argsort(shaken, kind="stable").tolist(), lengths, capacity))
-    for _ in range(GENERATIONS):
+    for _ in range(generations):
         population.sort(key=Grouping.rank)
         if len(population[0].bins) == least:
             break
@@ -109,13 +113,13 @@ def evolve(lengths: np.ndarray, elites: list[np.ndarray], capacity: int, seed: i
     return min(population, key=Grouping.rank)
 
 
-def _evolve_island(capacity: int):
+def _evolve_island(capacity: int, turn: int, generations: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("uid", ignore_index=True)
         lengths = pdf["length"].to_numpy(np.int64)
         elites = [np.array(e) for e in zip(*pdf["elites"], strict=True)]
         shard, island = int(pdf["shard"][0]), int(pdf["island"][0])
-        best = evolve(lengths, elites, capacity, seed=shard * 1009 + island)
+        best = evolve(lengths, elites, capacity, (shard, island, turn), generations)
         bins, offsets, fill = (np.zeros(len(pdf), dtype=np.int64) for _ in range(3))
         for k, b in enumerate(best.bins):
             b = np.sort(b)
@@ -126,10 +130,15 @@ def _evolve_island(capacity: int):
     return run
 
 
+def migrated(elites, island):
+    """What an island starts a round from: its own elite, and that of its neighbour."""
+    return F.array(F.get(elites, island), F.get(elites, (island + ISLANDS - 1) % ISLANDS))
+
+
 def _pack_level(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
     """``uid, length, shard, bin, offset, fill`` of the pieces ``uid, length``, dealt into shards evenly by number."""
     shards = max(1, -(-pieces.count() // SHARD))
-    run, schema = _evolve_island(capacity), "shard long, island int, uid long, length long, bin long, offset long, fill long"
+    schema = "shard long, island int, uid long, length long, bin long, offset long, fill long"
     now = pieces.select(
         F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(shards)).alias("shard"),
         "uid",
@@ -137,15 +146,16 @@ def _pack_level(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
         F.array().cast("array<long>").alias("elites"),
     )
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
-    for turn in range(MIGRATIONS):
+    for turn in range(ROUNDS):
         islands = now.select("*", everywhere)
         if turn:
-            own, next_one = F.col("island"), (F.col("island") + 1) % ISLANDS
-            islands = islands.withColumn("elites", F.array(F.get("elites", own), F.get("elites", next_one)))
+            islands = islands.withColumn("elites", migrated(F.col("elites"), F.col("island")))
+        run = _evolve_island(capacity, turn, GENERATIONS)
         best = islands.groupBy("shard", "island").applyInPandas(run, schema)
         now = best.groupBy("shard", "uid", "length").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("island", "bin"))), lambda x: x["bin"]).alias("elites")
         )
+    run = _evolve_island(capacity, ROUNDS, GENERATIONS)
     last = now.withColumn("island", F.lit(ISLANDS)).groupBy("shard", "island").applyInPandas(run, schema)
     return save(last.drop("island"), "packed")
 
