@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,15 +16,47 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The column that numbers the rows of a table while rows are dropped from it.
-ROW = "_row_of_table"
+def new_column(df: DataFrame, name: str) -> str:
+    """A name for a helper column that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def release() -> None:
+    """Hand memory that a task is done with back to the system: the next stage's work needs it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries do so on their own
+        pass
+
+
+def released(run):
+    """A function of the batches of a task that releases memory when the task ends."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset, as in tests, one temporary folder per context."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where it is unset and all runs in this process, as in tests, it is one temporary folder per context; on a cluster,
+    whose executors could not see that, it must be set.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         sc = spark.sparkContext
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = getattr(sc, "_hazardlens_dir", None)
         if base is None:
             base = sc._hazardlens_dir = tempfile.mkdtemp(prefix="hazardlens-")
@@ -68,7 +103,7 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
     The others are about as many as ``ids`` has: a bit filter of fixed size decides, so the second part still needs a
     join. Rows without an id may be in either part.
     """
-    mark = "_hash_of_id"
+    mark = new_column(docs, "_hash_of_id")
     held = docs.sparkSession.sparkContext.broadcast(hash_filter(ids.select(F.xxhash64(id_col).alias("h")), "h", 24))
 
     def keep(wanted: bool):
@@ -80,7 +115,8 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
         return run
 
     marked = docs.withColumn(mark, F.xxhash64(id_col))
-    return marked.mapInArrow(keep(False), docs.schema), save(marked.mapInArrow(keep(True), docs.schema), "looked-at")
+    kept, looked_at = (marked.mapInArrow(released(keep(wanted)), docs.schema) for wanted in (False, True))
+    return kept, save(looked_at, "looked-at")
 
 
 def thinned(rows: DataFrame, kind: str, key: str, wanted: int, seed: int) -> DataFrame:

@@ -10,8 +10,6 @@ Ids of a word are kept until a bound in bytes is reached or the task ends.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import json
 import os
 from collections.abc import Iterator
@@ -23,6 +21,7 @@ import pyarrow.compute as pc
 import regex
 
 from hazardlens.llm import words as wd
+from hazardlens.llm.storage import release
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Bytes of words, pieces and ids that a task remembers.
@@ -65,16 +64,6 @@ def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return flat[ragged_places(starts, lengths)]
 
 
-def release() -> None:
-    """Hand memory that a task is done with back to the system, as the next stage's work needs it."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # other C libraries do so on their own
-        pass
-
-
 class Memory:
     """Runs of ids by name, in one growing array."""
 
