@@ -12,7 +12,6 @@ A block is packed on its own, so any id is found from its number alone: ``read_i
 
 from __future__ import annotations
 
-import json
 import struct
 import uuid
 import zlib
@@ -21,15 +20,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hazardlens.llm import tokens
-from hazardlens.llm.storage import file_system, ship
+from hazardlens.llm.storage import file_system, released, ship
 
 MAGIC, HEAD = b"TKB1", "<4sIIQQQ"
 BLOCK = 4096
 END_ID = 2
-#: Ids after which a file is closed, and bytes of text for each task that writes.
-FILE_IDS, TASK_BYTES = 8 << 20, 24 << 20
+#: Ids after which a file is closed; bytes of text for each task that writes, at least and at most.
+FILE_IDS, TASK_BYTES, MOST_BYTES = 8 << 20, 24 << 20, 512 << 20
+#: Where the folder lists its files, tasks whose files are added up together, and tasks that read at once.
+LIST, GROUP, READERS = "files", 1024, 100_000
 
 
 def width(vocabulary_size: int) -> int:
@@ -156,8 +158,8 @@ def write_token_files(
 
     Rows without an id come first; rows that repeat an id stand in the order of a hash of their text, then of the
     text. A null or empty text is the end id alone. An empty table gives a folder with an empty list of files. Other
-    columns are not looked at. The list of files (a row per file of some megabytes) is written last, as
-    ``files.json``: what it does not name is left from lost attempts and is not read.
+    columns are not looked at. The list of files is a table beside them, written by the same tasks: what it does not
+    name is left from lost attempts and is not read. A large corpus has fewer, longer tasks; each file is bounded.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -165,20 +167,15 @@ def write_token_files(
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
     keys = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("text")]
-    ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(
-        max(1, -(-size // TASK_BYTES)), *keys[:2]
-    )
+    least, most = -(-size // MOST_BYTES), -(-size // TASK_BYTES)
+    tasks = max(1, least, min(most, 16 * docs.sparkSession.sparkContext.defaultParallelism))
+    ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(tasks, *keys[:2])
     written = (
         ordered.sortWithinPartitions(*keys)
         .select("doc_id", "text")
         .mapInArrow(_write(folder, vocabulary, end_id), "file string, task long, number long, n_docs long, n_ids long")
     )
-    files, start = [], 0
-    for row in sorted(written.collect(), key=lambda r: (r["task"], r["number"])):
-        files.append({"file": row["file"], "start": start, "n_docs": row["n_docs"], "n_ids": row["n_ids"]})
-        start += row["n_ids"]
-    with fs.open_output_stream(f"{path}/files.json") as out:
-        out.write(json.dumps(files).encode())
+    written.write.parquet(f"{folder}/{LIST}")
 
 
 def _read(folder: str):
@@ -205,12 +202,26 @@ def _read(folder: str):
     return run
 
 
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``file, n_docs, n_ids, start`` per file: ``start`` is the number of ids in all files before it.
+
+    Files are added up within groups of tasks, and the groups before each group as one row each.
+    """
+    schema = "file string, task long, number long, n_docs long, n_ids long"
+    files = spark.read.schema(schema).parquet(f"{folder}/{LIST}")
+    files = files.withColumn("group", F.floor(F.col("task") / GROUP))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("group").orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
+    groups = files.groupBy("group").agg(F.sum("n_ids").alias("ids"))
+    groups = groups.select("group", F.coalesce(F.sum("ids").over(before.orderBy("group")), F.lit(0)).alias("earlier"))
+    start = F.col("earlier") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))
+    return files.join(groups, "group").select("file", "n_docs", "n_ids", start.alias("start"))
+
+
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, from the files of a folder."""
     ship(spark)
-    fs, path = file_system(folder)
-    with fs.open_input_stream(f"{path}/files.json") as source:
-        files = json.loads(source.read())
-    rows = [(f["file"], f["start"]) for f in files]
-    listed = spark.createDataFrame(rows, "file string, start long").repartition(max(1, len(rows)))
-    return listed.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = listed_files(spark, folder)
+    listed = files.select("file", "start").repartition(max(1, min(files.count(), READERS)), "file")
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return listed.mapInArrow(released(_read(folder)), schema)
