@@ -21,7 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import ROW, file_system, hash_filter, new_path, save, ship, split_by_ids
+from hazardlens.llm.storage import (
+    file_system,
+    hash_filter,
+    new_column,
+    new_path,
+    released,
+    save,
+    ship,
+    split_by_ids,
+)
 
 #: Words of a window, and windows that a task holds at a time.
 WINDOW, WINDOWS_AT_ONCE = 13, 1 << 15
@@ -218,17 +227,18 @@ def decontaminate(
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = items.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).alias("text"))
     windows_path, index_path = new_path(spark, "windows"), new_path(spark, "index")
-    items.mapInArrow(_item_windows(window), "item_id string, words binary").write.parquet(windows_path)
+    items.mapInArrow(released(_item_windows(window)), "item_id string, words binary").write.parquet(windows_path)
     windows = spark.read.schema("item_id string, words binary").parquet(windows_path)
-    words = windows.select("words").mapInArrow(_words_of_windows, "word long")
+    words = windows.select("words").mapInArrow(released(_words_of_windows), "word long")
     wanted = spark.sparkContext.broadcast(hash_filter(words, "word", FILTER_BITS))
     schema = "doc_ids array<long>, n_words array<long>, terms binary, begin binary, places binary"
-    docs.mapInArrow(_index_blocks(wanted), schema).write.parquet(index_path)
+    docs.mapInArrow(released(_index_blocks(wanted)), schema).write.parquet(index_path)
+    wanted.destroy()
     return (
         spark.read.schema(schema)
         .parquet(index_path)
         .mapInArrow(
-            _matches(windows_path, slop),
+            released(_matches(windows_path, slop)),
             "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
             "items string, n_near long",
         )
@@ -238,12 +248,14 @@ def decontaminate(
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text is not contaminated; rows without an id stay.
+    """The rows of ``docs``, with all their columns, whose text is not contaminated.
 
-    Rows are told apart by a number they are saved with.
+    Rows are told apart by a number they are saved with, so each is judged by its own text, whether it has an id, shares
+    it or not. Null and empty texts stay. An empty table of documents gives no rows, one of items drops none.
     """
-    rows = save(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    found = decontaminate(rows.where(F.col(id_col).isNotNull()), items, ROW, text_col, **options)
-    gone = save(found.where("contaminated").select(F.col("doc_id").alias(ROW)), "contaminated")
-    sure, others = split_by_ids(rows, gone, ROW)
-    return sure.select(docs.columns).union(others.join(gone, ROW, "left_anti").select(docs.columns))
+    row = new_column(docs, "_row_of_table")
+    rows = save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = decontaminate(rows, items, row, text_col, **options)
+    gone = save(found.where("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
+    sure, others = split_by_ids(rows, gone, row)
+    return sure.select(docs.columns).union(others.join(gone, row, "left_anti").select(docs.columns))

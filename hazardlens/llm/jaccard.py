@@ -30,7 +30,7 @@ from pyspark.sql.window import Window as W
 
 from hazardlens.llm import words as wd
 from hazardlens.llm.components import connected_components
-from hazardlens.llm.storage import ROW, hash_filter, save, ship, split_by_ids
+from hazardlens.llm.storage import hash_filter, new_column, released, save, ship, split_by_ids
 
 #: Most entries of the list of frequent shingles, and the shingles of a text part counted at once.
 FREQUENT, COUNTED = 1 << 19, 1 << 22
@@ -94,7 +94,7 @@ def frequent_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarra
 
     A shingle is taken if it makes up more than a ``FREQUENT``-th of all shingles, so there are at most that many.
     """
-    counted = save(docs.mapInArrow(_count_parts(size), "shingle long, n long, total long"), "counts")
+    counted = save(docs.mapInArrow(released(_count_parts(size)), "shingle long, n long, total long"), "counts")
     total = counted.agg(F.sum("total")).first()[0] or 0
     least = max(16, total // FREQUENT + 1)
     rows = (
@@ -285,11 +285,12 @@ def jaccard_components(
     frequent = spark.sparkContext.broadcast(frequent_shingles(texts, words))
     sketches = save(
         docs.mapInArrow(
-            _sketches(words, num, den, frequent),
+            released(_sketches(words, num, den, frequent)),
             "doc_id long, n long, cls long, bits binary, first array<long>",
         ),
         "sketches",
     )
+    frequent.destroy()
     classes = sketches.where("cls is not null").dropDuplicates(["cls"])
 
     run = W.partitionBy("key")
@@ -314,11 +315,11 @@ def jaccard_components(
         .repartition("run", "low", "high")
         .sortWithinPartitions("run", "low", "high")
     )
-    possible = tiles.mapInArrow(_tile_links(("run", "low", "high"), num, den), "a long, b long").distinct()
+    possible = tiles.mapInArrow(released(_tile_links(("run", "low", "high"), num, den)), "a long, b long").distinct()
     blocks = connected_components(possible)
 
     wanted = spark.sparkContext.broadcast(hash_filter(blocks, "node", 26))
-    sets = texts.mapInArrow(_sets(words, wanted), "cls long, shingles binary").dropDuplicates(["cls"])
+    sets = texts.mapInArrow(released(_sets(words, wanted)), "cls long, shingles binary").dropDuplicates(["cls"])
     parts = blocks.groupBy("root").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     dealt = (
         blocks.join(parts, "root")
@@ -329,12 +330,13 @@ def jaccard_components(
         .repartition("root", "low", "high")
         .sortWithinPartitions("root", "low", "high")
     )
-    links = dealt.mapInArrow(_tile_links(("root", "low", "high"), num, den), "a long, b long")
+    links = dealt.mapInArrow(released(_tile_links(("root", "low", "high"), num, den)), "a long, b long")
     joined = connected_components(links).select(F.col("node").alias("cls"), "root")
 
     smallest = sketches.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("smallest"))
     named = smallest.join(joined, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = save(named, "classes")
+    wanted.destroy()
     roots = named.groupBy("root").agg(F.min("smallest").alias("component_id"))
     of_class = named.join(roots, "root").select("cls", "component_id")
     return sketches.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(of_class, "cls", "left").select(
@@ -346,13 +348,16 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs``, with all their columns, of one row per component: of those with the smallest id, one.
 
     Rows are told apart by a number they are saved with, so rows that repeat an id with different texts are documents
-    of their own. Rows without an id stay; rows without words are linked with nothing and stay.
+    of their own; a row without an id stays only if its component has none with an id. Rows without words (a null,
+    empty or blank text) are linked with nothing and stay. An empty table gives no rows.
     """
-    rows = save(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    found = jaccard_components(rows, ROW, text_col, **options).select(F.col("doc_id").alias(ROW), "component_id")
-    ids = rows.select(ROW, F.col(id_col).cast("long").alias("id")).where("id is not null")
-    found = save(found.join(ids, ROW), "components")
-    stay = found.groupBy("component_id").agg(F.min(F.struct("id", ROW))[ROW].alias(ROW)).select(ROW)
-    gone = save(found.select(ROW).join(stay, ROW, "left_anti"), "gone")
-    sure, others = split_by_ids(rows, gone, ROW)
-    return sure.select(docs.columns).union(others.join(gone, ROW, "left_anti").select(docs.columns))
+    row = new_column(docs, "_row_of_table")
+    rows = save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows, row, text_col, **options).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"))
+    found = save(found.join(ids, "row"), "components")
+    least = F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"]
+    stay = found.groupBy("component_id").agg(least.alias("row")).select("row")
+    gone = save(found.select("row").join(stay, "row", "left_anti").withColumnRenamed("row", row), "gone")
+    sure, others = split_by_ids(rows, gone, row)
+    return sure.select(docs.columns).union(others.join(gone, row, "left_anti").select(docs.columns))

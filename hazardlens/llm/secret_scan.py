@@ -251,7 +251,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """The same rows and columns, with every secret of the text, overlapping ones together, replaced by ``mark``."""
+    """The same rows and columns, with every secret of the text, overlapping ones together, replaced by ``mark``.
+
+    A null text stays null, an empty one empty; every row stays, also those that repeat an id. An empty table gives no
+    rows. Other columns are kept as they are.
+    """
     block = 4096
 
     def merged(spans: Column) -> Column:

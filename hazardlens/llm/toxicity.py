@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import ship, thinned
+from hazardlens.llm.storage import released, ship, thinned
 
 #: Most documents of each label in the training sample.
 SAMPLE = 2500
@@ -200,7 +200,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     scored = docs.mapInArrow(
-        _score(model), "doc_id long, score double, predicted int, offending array<int>, worst double"
+        released(_score(model)), "doc_id long, score double, predicted int, offending array<int>, worst double"
     )
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "offending", "worst")
 
@@ -217,12 +217,16 @@ def _keep_clean(model, text_col: str):
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``toxicity`` does not predict toxic."""
+    """The rows of ``docs``, with all their columns, that ``toxicity`` does not predict toxic.
+
+    Null, empty and wordless texts stay, as do all rows if nothing can be learnt from the labels but that they are 0.
+    Rows that repeat an id, or have none, are judged each by its own text. An empty table gives no rows.
+    """
     ship(docs.sparkSession)
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     model = docs.sparkSession.sparkContext.broadcast(fit(known, labels))
-    return docs.mapInArrow(_keep_clean(model, text_col), docs.schema)
+    return docs.mapInArrow(released(_keep_clean(model, text_col)), docs.schema)
 
 
 def is_held_out(doc_id: int | None) -> bool:
