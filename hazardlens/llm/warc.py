@@ -226,8 +226,10 @@ def write_archives(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
     )
     large = F.octet_length("html") >= LEAST_REVISIT
-    # Small payloads stand alone: no join key, so nothing is gathered on the empty or other common small texts.
-    marked = pages.withColumn("digest", F.when(large, F.sha1(F.col("html").cast("binary"))))
+    # Small payloads stand alone: they take no part in the join, where they would all meet under the key null.
+    none = [F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("revisit")]
+    small = pages.where(~F.coalesce(large, F.lit(False))).select("page_id", "url", "html", *none)
+    marked = pages.where(large).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     latest = (
         pages.where(large)
         .groupBy(F.sha1(F.col("html").cast("binary")).alias("digest"))
@@ -238,7 +240,7 @@ def write_archives(
     revisit = F.col("latest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("latest"))
     placed = marked.join(latest, "digest", "left").select(
         "page_id", "url", "html", F.when(revisit, F.col("latest")).alias("refers_to"), revisit.alias("revisit")
-    )
+    ).union(small)
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
     written = save(placed.mapInArrow(_write(folder), "file string, n long"), "archives")
