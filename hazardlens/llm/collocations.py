@@ -7,8 +7,9 @@ that were not counted. So it joins the proposed ones, and another pass counts wh
 is left. Whatever the sample, the counts of all frequent phrases are then complete and exact.
 
 Tasks hold what is proposed as bit filters of fixed size, so a pass may also count phrases that nothing asked for; it
-never misses one. Words of a slice of texts are numbered, and phrases are counted by these numbers, exactly; words and
-phrases are spelled out once per slice, and partial counts are added up before they are shuffled.
+never misses one. Words of a slice of texts are numbered, and phrases are counted by these numbers, exactly. Between
+tasks a phrase is a hash of 128 bits, so that partial counts are added up in rows of fixed width; what is frequent in the
+end is spelled out in a last pass.
 """
 
 from __future__ import annotations
@@ -24,15 +25,14 @@ from pyspark.sql.window import Window
 
 from hazardlens.llm import words as wd
 from hazardlens.llm.lookup import lookup
-from hazardlens.llm.storage import HashFilter, hash_filter, save, ship
-from hazardlens.llm.tokens import release
+from hazardlens.llm.storage import HashFilter, hash_filter, release, save, ship
 
 #: Share of the rows that propose, the part of its expected count that a phrase must reach there, and the least count.
 SAMPLE, LOWERED, PROPOSES = 0.2, 0.75, 2
 #: Bits of a filter, as a power of two: 4 MB each. A fuller filter costs time, not results.
 FILTER_BITS = 25
 #: Bytes of text that are counted together, and rows of counts that are sent together.
-SLICE, SENT = 12 << 20, 100_000
+SLICE, SENT = 8 << 20, 200_000
 #: The language of texts without one.
 UNKNOWN = "und"
 
@@ -40,7 +40,10 @@ _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*(ord(c) for c in ".,;:!?"), *range(10, 14)]] = True
 _WORD = ~_BREAK
 _WORD[[9, 32]] = False
-_COUNTS = "lang string, size int, phrase string, hash long, n long"
+_COUNTS = "size int, hash long, other long, n long"
+_SPELLED = "lang string, size int, phrase string, hash long, other long, n long"
+#: Another order of the bytes, for the second half of a hash.
+_OTHER = np.arange(256, dtype=np.uint8) ^ np.uint8(0xA5)
 
 
 def _phrase_hashes(words: np.ndarray) -> np.ndarray:
@@ -65,20 +68,16 @@ class Border:
 
     ``known[k]`` holds the proposed phrases of k words, ``before[k]`` those of the pass before. A phrase is counted
     where both its parts are known now and were not both known before, so no two passes count the same one. Words are
-    counted where ``words`` is set.
+    counted where ``words`` is set. A pass with ``wanted`` spells out what that holds and counts all words instead.
     """
 
-    def __init__(self, most: int, known: dict[int, HashFilter], before: dict[int, HashFilter], words: bool):
-        self.most, self.known, self.before, self.words = most, known, before, words
+    def __init__(self, most: int, known: dict, before: dict, words: bool, wanted: dict | None = None):
+        self.most, self.known, self.before, self.words, self.wanted = most, known, before, words, wanted
 
     @staticmethod
-    def _holds(filters: dict[int, HashFilter], size: int, hashes: np.ndarray) -> np.ndarray:
+    def holds(filters: dict[int, HashFilter], size: int, hashes: np.ndarray) -> np.ndarray:
         return filters[size].may_hold(hashes) if size in filters else np.zeros(len(hashes), dtype=bool)
 
-    def test(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which phrases are proposed now, and which were before."""
-        return self._holds(self.known, size, hashes), self._holds(self.before, size, hashes)
-
 
 def _joined(columns: list, sign: str) -> pa.Array:
     """Texts put together row by row, with a sign between them."""
@@ -102,8 +101,11 @@ def _segments(texts: pa.Array) -> Iterator[np.ndarray]:
         start = end
 
 
-def count_segment(data: np.ndarray, lang: str, border: Border) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
-    """(size, phrases, hashes, counts) of the phrases in some bytes that the border asks for; size 0: all words."""
+def count_segment(data: np.ndarray, lang: str, border: Border) -> Iterator[tuple]:
+    """(size, hashes, other hashes, counts, phrases) of the phrases in some bytes that the border asks for.
+
+    The phrases are None unless they are to be spelled out; then size 0 has the count of all words.
+    """
     starts, ends, _ = wd.find(data, np.array([0, len(data)]), _WORD)
     if not len(starts):
         return
@@ -113,19 +115,23 @@ def count_segment(data: np.ndarray, lang: str, border: Border) -> Iterator[tuple
     words = words.dictionary_encode()
     spelled, codes = words.dictionary, words.indices.to_numpy().astype(np.int64)
     sign = np.frombuffer(lang.encode() + b"\n", dtype=np.uint8)
-    sign = wd.hashes(sign, np.array([0]), np.array([len(sign)]))
-    spelled_bytes, at = wd.text_bytes(spelled)
-    hashes = wd.mix(wd.hashes(spelled_bytes, at[:-1], at[1:]) ^ sign)
-    of_words = _phrase_hashes(hashes[:, None])
-    if border.words:
-        yield 0, pa.array([""], pa.large_string()), np.zeros(1, dtype=np.uint64), np.array([len(codes)])
-        yield 1, spelled, of_words, np.bincount(codes, minlength=len(spelled))
+    letters, at = wd.text_bytes(spelled)
+    hashes, others = (
+        wd.mix(wd.hashes(order[letters], at[:-1], at[1:]) ^ wd.hashes(order[sign], np.array([0]), np.array([len(sign)])))
+        for order in (wd.IDENTITY, _OTHER)
+    )
+    now, counts = _phrase_hashes(hashes[:, None]), np.bincount(codes, minlength=len(spelled))
+    if border.wanted is not None:
+        zero = np.zeros(1, dtype=np.uint64)
+        yield 0, zero, zero, np.array([len(codes)]), pa.array([""], pa.large_string())
+    if border.words or border.wanted is not None:
+        yield from _asked(border, 1, now, counts, np.arange(len(spelled)), spelled, [np.arange(len(spelled))], others)
     breaks = np.cumsum(_BREAK[data], dtype=np.int32)
     follows = np.append(breaks[starts[1:]] == breaks[ends[:-1] - 1], False)
-    del breaks, joined, words
+    del breaks, joined, words, starts, ends
     # At each word: the number of the phrase of `size` words that begins there, or -1, and what is known of it.
     number, distinct = codes, len(spelled)
-    now, then = border.test(1, of_words)
+    now, then = Border.holds(border.known, 1, now), Border.holds(border.before, 1, now)
     for size in range(2, border.most + 1):
         good = (number >= 0) & now[number]
         here = np.flatnonzero(good[:-1] & good[1:] & follows[:-1])
@@ -137,14 +143,27 @@ def count_segment(data: np.ndarray, lang: str, border: Border) -> Iterator[tuple
         places = here[first]
         columns = [codes[places + k] for k in range(size)]
         of_phrases = _phrase_hashes(np.stack([hashes[c] for c in columns], axis=1))
-        new = np.flatnonzero(~again)
-        if len(new):
-            spelled_out = _joined([spelled.take(pa.array(c[new])) for c in columns], " ")
-            yield size, spelled_out, of_phrases[new], counts[new]
+        new = np.flatnonzero(~again) if border.wanted is None else np.arange(len(first))
+        yield from _asked(border, size, of_phrases, counts, new, spelled, columns, others)
         number, distinct = np.full(len(codes), -1, dtype=np.int64), len(first)
         number[here] = which
-        now, then = border.test(size, of_phrases)
-        then &= again
+        now = Border.holds(border.known, size, of_phrases)
+        then = Border.holds(border.before, size, of_phrases) & again
+
+
+def _asked(border, size, hashes, counts, new, spelled, columns, others) -> Iterator[tuple]:
+    """The ``new`` ones of distinct phrases, or those of them that are to be spelled out."""
+    if border.wanted is not None:
+        new = new[Border.holds(border.wanted, size, hashes[new])]
+    if not len(new):
+        return
+    columns = [c[new] for c in columns]
+    phrases = None
+    if border.wanted is not None:
+        phrases = [spelled.take(pa.array(c)) for c in columns]
+        phrases = _joined(phrases, " ") if size > 1 else phrases[0]
+    other = _phrase_hashes(np.stack([others[c] for c in columns], axis=1))
+    yield size, hashes[new], other, counts[new], phrases
 
 
 def _count(border):
@@ -156,34 +175,48 @@ def _count(border):
                     for lang in pc.unique(langs).to_pylist():
                         texts = part.column("text").filter(pc.equal(langs, lang))
                         for data in _segments(texts):
-                            for size, phrases, hashes, counts in count_segment(data, lang, border.value):
-                                for k in range(0, len(phrases), SENT):
-                                    some = phrases.slice(k, SENT)
-                                    yield pa.RecordBatch.from_arrays(
-                                        [
-                                            pa.array([lang] * len(some), pa.string()),
-                                            pa.array(np.full(len(some), size, dtype=np.int32)),
-                                            some.cast(pa.string()),
-                                            pa.array(hashes[k : k + SENT].view(np.int64)),
-                                            pa.array(counts[k : k + SENT].astype(np.int64)),
-                                        ],
-                                        ["lang", "size", "phrase", "hash", "n"],
-                                    )
+                            for found in count_segment(data, lang, border.value):
+                                yield from _sent(lang, *found)
         finally:
             release()
 
     return run
 
 
+def _sent(lang, size, hashes, others, counts, phrases) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(hashes), SENT):
+        h = hashes[k : k + SENT].view(np.int64)
+        columns = {"size": pa.array(np.full(len(h), size, dtype=np.int32)), "hash": pa.array(h)}
+        columns |= {"other": pa.array(others[k : k + SENT].view(np.int64))}
+        columns |= {"n": pa.array(counts[k : k + SENT].astype(np.int64))}
+        if phrases is not None:
+            some = phrases.slice(k, SENT).cast(pa.string())
+            columns |= {"lang": pa.array([lang] * len(h), pa.string()), "phrase": some}
+            columns = {c.split()[0]: columns[c.split()[0]] for c in _SPELLED.split(", ")}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def _frequent(texts: DataFrame, border: Border, least: int, name: str) -> DataFrame:
-    """One pass: the phrases that the border asks for, as often as ``least`` or more, and the number of all words."""
+    """One pass: ``size, hash, other, n`` of the phrases that the border asks for, as often as ``least`` or more."""
     held = texts.sparkSession.sparkContext.broadcast(border)
-    found = texts.mapInArrow(_count(held), _COUNTS).groupBy("lang", "size", "phrase", "hash").agg(F.sum("n").alias("n"))
-    out = save(found.where((F.col("n") >= least) | (F.col("size") == 0)), name)
+    found = texts.mapInArrow(_count(held), _COUNTS).groupBy("size", "hash", "other").agg(F.sum("n").alias("n"))
+    out = save(found.where(F.col("n") >= least), name)
     held.destroy()
     return out
 
 
+def _spelled(texts: DataFrame, border: Border, counted: DataFrame) -> DataFrame:
+    """``lang, size, phrase, n`` of counted phrases, and the number of all words of each language as size 0."""
+    held = texts.sparkSession.sparkContext.broadcast(border)
+    keys = ["lang", "size", "phrase", "hash", "other"]
+    found = save(texts.mapInArrow(_count(held), _SPELLED).groupBy(keys).agg(F.sum("n").alias("seen")), "spelled")
+    held.destroy()
+    phrases = found.where(F.col("size") > 0).join(counted, ["size", "hash", "other"])
+    totals = found.where(F.col("size") == 0).withColumn("n", F.col("seen"))
+    columns = ["lang", "size", "phrase", "n"]
+    return phrases.select(columns).union(totals.select(columns))
+
+
 def _grown(known: dict[int, HashFilter], found: DataFrame, sizes) -> dict[int, HashFilter]:
     """The filters with the phrases of ``found`` in them as well."""
     out = dict(known)
@@ -227,10 +260,11 @@ def frequent_phrases(
         if all((grown[k].packed == known[k].packed).all() for k in known):
             break
         known, before = grown, known
-    out = passes[0]
+    counted = passes[0]
     for found in passes[1:]:
-        out = out.union(found)
-    return out.select("lang", "size", "phrase", "n")
+        counted = counted.union(found)
+    wanted = _grown(known, counted, [most]) if most not in known else known
+    return _spelled(texts, Border(most, known, {}, False, wanted), counted)
 
 
 def _upto(known: dict[int, HashFilter], size: int) -> dict[int, HashFilter]:

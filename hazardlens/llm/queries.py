@@ -66,7 +66,7 @@ def op7_license_scan(spark, sf_dir):
 
 def op8_warc(spark, sf_dir):
     """Records of all pages, written to archives and read back."""
-    return warc.round_trip(_table(spark, sf_dir, "pages"))
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
 
 def op9_exact_topk(spark, sf_dir):
@@ -76,7 +76,8 @@ def op9_exact_topk(spark, sf_dir):
 
 def op10_benchmark_decontamination(spark, sf_dir):
     """What part of each document lies in 13-word windows of benchmark items, and of which items."""
-    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op11_phrase_collocations(spark, sf_dir):
@@ -116,6 +117,60 @@ QUERIES = {
     "op13_conversation_trie": op13_conversation_trie,
 }
 
+_WARC_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages),
+q AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END
+        AS latest
+    FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN latest <> page_id THEN latest END AS refers_to
+FROM q
+"""
+
+_TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+found AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM found)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+_WORDS_SQL = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_BENCHMARK_SQL = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS_SQL} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS size,
+           unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: w[i:i + least(13, len(w)) - 1])) AS win
+    FROM items WHERE len(w) > 0),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS_SQL} AS w FROM documents),
+first AS (SELECT DISTINCT size, win[1] AS word FROM windows),
+places AS (SELECT row, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+spots AS (
+    SELECT row, size, i, w[i:i + size - 1] AS win
+    FROM places JOIN first USING (word) JOIN docs USING (row) WHERE i + size - 1 <= len(w)),
+hits AS (SELECT row, i, spots.size, item_id FROM spots JOIN windows ON windows.win = spots.win),
+hit_words AS (
+    SELECT row, count(DISTINCT k) AS n_hit
+    FROM (SELECT row, unnest(range(i, i + size)) AS k FROM (SELECT DISTINCT row, i, size FROM hits)) GROUP BY row),
+hit_items AS (
+    SELECT row, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+    FROM (SELECT DISTINCT row, item_id FROM hits) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (row) LEFT JOIN hit_items USING (row)
+"""
+
 _PHRASES_SQL = r"""
 WITH lines AS (
     SELECT coalesce(lang, 'und') AS lang,
@@ -206,4 +261,10 @@ SELECT conv_id, counted.d AS depth, parent_conv_id, n_convs, n_children, CAST(n_
 FROM counted JOIN totals ON totals.node = counted.node AND totals.d = counted.d
 """
 
-ORACLES: dict[str, str] = {"op11_phrase_collocations": _PHRASES_SQL, "op13_conversation_trie": _TRIE_SQL}
+ORACLES: dict[str, str] = {
+    "op8_warc": _WARC_SQL,
+    "op9_exact_topk": _TOP_K_SQL,
+    "op10_benchmark_decontamination": _BENCHMARK_SQL,
+    "op11_phrase_collocations": _PHRASES_SQL,
+    "op13_conversation_trie": _TRIE_SQL,
+}

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+IDENTITY = np.arange(256, dtype=np.uint8)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
