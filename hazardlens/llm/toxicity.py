@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.llm import words as wd
-from hazardlens.llm.storage import released, ship, thinned
+from hazardlens.llm.storage import release, released, ship, thinned
 
 #: Most documents of each label in the training sample.
 SAMPLE = 2500
@@ -155,7 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     # 2 * SAMPLE rows at most.
     listed = F.broadcast(spark.createDataFrame(list(wanted.items()), "doc_id long, toxic int"))
     rows = docs.join(listed, "doc_id").dropDuplicates(["doc_id"]).orderBy(*order).collect()
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+    found = train([r["text"] for r in rows], [r["toxic"] for r in rows])
+    del rows
+    release()
+    return found
 
 
 def _score(model):
