@@ -8,8 +8,8 @@ is left. Whatever the sample, the counts of all frequent phrases are then comple
 
 Tasks hold what is proposed as bit filters of fixed size, so a pass may also count phrases that nothing asked for; it
 never misses one. Words of a slice of texts are numbered, and phrases are counted by these numbers, exactly. Between
-tasks a phrase is a hash of 128 bits, so that partial counts are added up in rows of fixed width; what is frequent in the
-end is spelled out in a last pass.
+tasks a phrase is a hash of 96 bits: counts are shuffled as packed arrays, by bins of hashes, and added up there. What is
+frequent in the end is spelled out in a last pass.
 """
 
 from __future__ import annotations
@@ -25,14 +25,15 @@ from pyspark.sql.window import Window
 
 from hazardlens.llm import words as wd
 from hazardlens.llm.lookup import lookup
-from hazardlens.llm.storage import HashFilter, hash_filter, release, save, ship
+from hazardlens.llm.storage import HashFilter, hash_filter, released, save, ship
 
 #: Share of the rows that propose, the part of its expected count that a phrase must reach there, and the least count.
 SAMPLE, LOWERED, PROPOSES = 0.2, 0.75, 2
 #: Bits of a filter, as a power of two: 4 MB each. A fuller filter costs time, not results.
 FILTER_BITS = 25
-#: Bytes of text that are counted together, and rows of counts that are sent together.
-SLICE, SENT = 8 << 20, 200_000
+#: Bytes of text that are counted together; bytes of text for each bin of counts; counts of a bin that are held before
+#: equal ones are added up; rows of spelled phrases that are sent together.
+SLICE, BIN, TOGETHER, SENT = 8 << 20, 4 << 20, 2 << 20, 200_000
 #: The language of texts without one.
 UNKNOWN = "und"
 
@@ -40,7 +41,10 @@ _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*(ord(c) for c in ".,;:!?"), *range(10, 14)]] = True
 _WORD = ~_BREAK
 _WORD[[9, 32]] = False
-_COUNTS = "size int, hash long, other long, n long"
+#: A count as it is sent, the largest that fits, and a count as it is added up.
+_ENTRY = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "<u2")])
+_MOST = 65_535
+_SUM = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "<i8")])
 _SPELLED = "lang string, size int, phrase string, hash long, other long, n long"
 #: Another order of the bytes, for the second half of a hash.
 _OTHER = np.arange(256, dtype=np.uint8) ^ np.uint8(0xA5)
@@ -166,41 +170,121 @@ def _asked(border, size, hashes, counts, new, spelled, columns, others) -> Itera
     yield size, hashes[new], other, counts[new], phrases
 
 
-def _count(border):
+def _found(batches, border: Border) -> Iterator[tuple]:
+    """Language and phrases of each segment of the texts of a task."""
+    for batch in batches:
+        for part in wd.slices(batch, limit=SLICE):
+            langs = part.column("lang")
+            for lang in pc.unique(langs).to_pylist():
+                for data in _segments(part.column("text").filter(pc.equal(langs, lang))):
+                    for found in count_segment(data, lang, border):
+                        yield lang, *found
+
+
+def _count(border, bins: int):
+    """Counts of a segment as one row of packed bytes for each bin of hashes."""
+
+    def run(batches):
+        for _, size, hashes, others, counts, _ in _found(batches, border.value):
+            entries = np.empty(len(hashes), dtype=_ENTRY)
+            entries["hash"], entries["other"] = hashes, others >> np.uint64(32)
+            # What does not fit an entry is told in entries of its own.
+            entries["n"] = np.minimum(counts, _MOST)
+            large = np.flatnonzero(counts > _MOST)
+            if len(large):
+                more = np.repeat(entries[large], (counts[large] - 1) // _MOST)
+                ends = np.cumsum((counts[large] - 1) // _MOST) - 1
+                more["n"][ends] = counts[large] - _MOST * ((counts[large] - 1) // _MOST)
+                entries = np.concatenate([entries, more])
+            bin_of = (entries["hash"] % np.uint64(bins)).astype(np.int64)
+            order = np.argsort(bin_of.astype(np.uint16) if bins < 65536 else bin_of, kind="stable")
+            entries, bin_of = entries[order], bin_of[order]
+            first = np.flatnonzero(np.diff(bin_of, prepend=-1))
+            data, at = entries.tobytes(), np.append(first, len(entries)) * _ENTRY.itemsize
+            rows = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            sizes = pa.array(np.full(len(rows), size, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([sizes, pa.array(bin_of[first]), pa.array(rows, pa.binary())], ["size", "bin", "data"])
+
+    return released(run)
+
+
+def added_up(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (hash, other) and the sums of their counts."""
+    order = np.argsort(entries["hash"], kind="stable")
+    hashes, others = entries["hash"][order], entries["other"][order]
+    new = np.diff(hashes, prepend=~hashes[:1]) != 0
+    if ((np.diff(others, prepend=others[:1]) != 0) & ~new).any():
+        order = np.lexsort((entries["other"], entries["hash"]))
+        hashes, others = entries["hash"][order], entries["other"][order]
+        new = (np.diff(hashes, prepend=~hashes[:1]) != 0) | (np.diff(others, prepend=others[:1]) != 0)
+    first = np.flatnonzero(new)
+    return hashes[first], others[first], np.add.reduceat(entries["n"][order].astype(np.int64), first)
+
+
+def _add_up(least: int):
+    """The frequent phrases of bins, whose rows follow one another; equal ones meet whenever enough has come in."""
+
+    def run(batches):
+        now, held, size = None, [], 0
+
+        def settled():
+            hashes, others, n = added_up(np.concatenate(held))
+            frequent = n >= least
+            count = int(frequent.sum())
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(count, now[0], dtype=np.int32)),
+                    pa.array(hashes[frequent].view(np.int64)),
+                    pa.array(others[frequent].astype(np.int64)),
+                    pa.array(n[frequent]),
+                ],
+                ["size", "hash", "other", "n"],
+            )
+
+        for batch in batches:
+            for s, b, data in zip(*(batch.column(c).to_pylist() for c in ("size", "bin", "data")), strict=True):
+                if now is not None and now != (s, b):
+                    yield settled()
+                    held, size = [], 0
+                now = s, b
+                part = np.frombuffer(data, dtype=_ENTRY).astype(_SUM)
+                held.append(part)
+                size += len(part)
+                if size > TOGETHER:
+                    hashes, others, n = added_up(np.concatenate(held))
+                    whole = np.empty(len(n), dtype=_SUM)
+                    whole["hash"], whole["other"], whole["n"] = hashes, others, n
+                    held, size = [whole], 0
+        if held:
+            yield settled()
+
+    return released(run)
+
+
+def _spell(border):
     def run(batches):
-        try:
-            for batch in batches:
-                for part in wd.slices(batch, limit=SLICE):
-                    langs = part.column("lang")
-                    for lang in pc.unique(langs).to_pylist():
-                        texts = part.column("text").filter(pc.equal(langs, lang))
-                        for data in _segments(texts):
-                            for found in count_segment(data, lang, border.value):
-                                yield from _sent(lang, *found)
-        finally:
-            release()
-
-    return run
-
-
-def _sent(lang, size, hashes, others, counts, phrases) -> Iterator[pa.RecordBatch]:
-    for k in range(0, len(hashes), SENT):
-        h = hashes[k : k + SENT].view(np.int64)
-        columns = {"size": pa.array(np.full(len(h), size, dtype=np.int32)), "hash": pa.array(h)}
-        columns |= {"other": pa.array(others[k : k + SENT].view(np.int64))}
-        columns |= {"n": pa.array(counts[k : k + SENT].astype(np.int64))}
-        if phrases is not None:
-            some = phrases.slice(k, SENT).cast(pa.string())
-            columns |= {"lang": pa.array([lang] * len(h), pa.string()), "phrase": some}
-            columns = {c.split()[0]: columns[c.split()[0]] for c in _SPELLED.split(", ")}
-        yield pa.RecordBatch.from_pydict(columns)
-
-
-def _frequent(texts: DataFrame, border: Border, least: int, name: str) -> DataFrame:
+        for lang, size, hashes, others, counts, phrases in _found(batches, border.value):
+            for k in range(0, len(hashes), SENT):
+                end = k + SENT
+                columns = {
+                    "lang": pa.array([lang] * len(hashes[k:end]), pa.string()),
+                    "size": pa.array(np.full(len(hashes[k:end]), size, dtype=np.int32)),
+                    "phrase": phrases.slice(k, SENT).cast(pa.string()),
+                    "hash": pa.array(hashes[k:end].view(np.int64)),
+                    "other": pa.array((others[k:end] >> np.uint64(32)).astype(np.int64)),
+                    "n": pa.array(counts[k:end].astype(np.int64)),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return released(run)
+
+
+def _frequent(texts: DataFrame, border: Border, least: int, bins: int, name: str) -> DataFrame:
     """One pass: ``size, hash, other, n`` of the phrases that the border asks for, as often as ``least`` or more."""
     held = texts.sparkSession.sparkContext.broadcast(border)
-    found = texts.mapInArrow(_count(held), _COUNTS).groupBy("size", "hash", "other").agg(F.sum("n").alias("n"))
-    out = save(found.where(F.col("n") >= least), name)
+    counts = texts.mapInArrow(_count(held, bins), "size int, bin long, data binary")
+    met = counts.repartition("bin").sortWithinPartitions("bin", "size")
+    out = save(met.mapInArrow(_add_up(least), "size int, hash long, other long, n long"), name)
     held.destroy()
     return out
 
@@ -209,7 +293,7 @@ def _spelled(texts: DataFrame, border: Border, counted: DataFrame) -> DataFrame:
     """``lang, size, phrase, n`` of counted phrases, and the number of all words of each language as size 0."""
     held = texts.sparkSession.sparkContext.broadcast(border)
     keys = ["lang", "size", "phrase", "hash", "other"]
-    found = save(texts.mapInArrow(_count(held), _SPELLED).groupBy(keys).agg(F.sum("n").alias("seen")), "spelled")
+    found = save(texts.mapInArrow(_spell(held), _SPELLED).groupBy(keys).agg(F.sum("n").alias("seen")), "spelled")
     held.destroy()
     phrases = found.where(F.col("size") > 0).join(counted, ["size", "hash", "other"])
     totals = found.where(F.col("size") == 0).withColumn("n", F.col("seen"))
@@ -247,14 +331,16 @@ def frequent_phrases(
     texts = docs.select(lang.alias("lang"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     some = docs.sample(sample, seed).select(lang.alias("lang"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     lowered = max(PROPOSES, int(least * sample * LOWERED))
+    bins = max(1, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BIN))
+    few = max(1, int(bins * sample))
     known: dict[int, HashFilter] = {}
     for size in range(1, most):
-        found = _frequent(some, Border(size, known, _upto(known, size - 2), size == 1), lowered, f"proposed-{size}")
+        found = _frequent(some, Border(size, known, _upto(known, size - 2), size == 1), lowered, few, f"proposed-{size}")
         known = _grown(known, found, [size])
     before: dict[int, HashFilter] = {}
     passes = []
     while True:
-        found = _frequent(texts, Border(most, known, before, not passes), least, f"counted-{len(passes)}")
+        found = _frequent(texts, Border(most, known, before, not passes), least, bins, f"counted-{len(passes)}")
         passes.append(found)
         grown = _grown(known, found, range(1, most))
         if all((grown[k].packed == known[k].packed).all() for k in known):

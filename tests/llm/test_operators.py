@@ -296,6 +296,18 @@ def test_phrases_of_segments(monkeypatch):
         assert total == sum(c for p, c in want.items() if " " not in p)
 
 
+def test_large_counts_are_told_in_parts(spark):
+    rows = [("en", "a b " * 100_000), ("en", "a b " * 50_000)]
+    found = collocations.frequent_phrases(spark.createDataFrame(rows, "lang string, text string"), sample=1.0)
+    got = {r["phrase"]: r["n"] for r in found.collect()}
+    assert got == {"": 300_000, "a": 150_000, "b": 150_000, "a b": 150_000, "b a": 149_998, "a b a": 149_998, "b a b": 149_998}
+
+
+def test_equal_hashes_of_other_phrases_stay_apart():
+    entries = np.array([(5, 1, 2), (5, 2, 3), (5, 1, 4), (7, 1, 1)], dtype=collocations._ENTRY)
+    assert list(zip(*(x.tolist() for x in collocations.added_up(entries)), strict=True)) == [(5, 1, 6), (5, 2, 3), (7, 1, 1)]
+
+
 def test_bpe_odd_rows(spark):
     from tokenizers import Tokenizer
 
