@@ -9,7 +9,7 @@ is left. Whatever the sample, the counts of all frequent phrases are then comple
 Tasks hold what is proposed as bit filters of fixed size, so a pass may also count phrases that nothing asked for; it
 never misses one. Words of a slice of texts are numbered, and phrases are counted by these numbers, exactly. Between
 tasks a phrase is a hash of 96 bits: counts are shuffled as packed arrays, by bins of hashes, and added up there. What is
-frequent in the end is spelled out in a last pass.
+frequent in the end is spelled out, most of it from the sample, the rest in a last pass.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ _BREAK[[*(ord(c) for c in ".,;:!?"), *range(10, 14)]] = True
 _WORD = ~_BREAK
 _WORD[[9, 32]] = False
 #: A count as it is sent, the largest that fits, and a count as it is added up.
-_ENTRY = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "<u2")])
-_MOST = 65_535
+_ENTRY = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "u1")])
+_MOST = 255
 _SUM = np.dtype([("hash", "<u8"), ("other", "<u4"), ("n", "<i8")])
 _SPELLED = "lang string, size int, phrase string, hash long, other long, n long"
 #: Another order of the bytes, for the second half of a hash.
@@ -289,16 +289,13 @@ def _frequent(texts: DataFrame, border: Border, least: int, bins: int, name: str
     return out
 
 
-def _spelled(texts: DataFrame, border: Border, counted: DataFrame) -> DataFrame:
-    """``lang, size, phrase, n`` of counted phrases, and the number of all words of each language as size 0."""
+def _spelled(texts: DataFrame, border: Border, name: str) -> DataFrame:
+    """``lang, size, phrase, hash, other`` of wanted phrases; ``seen`` of size 0 is the number of all words."""
     held = texts.sparkSession.sparkContext.broadcast(border)
     keys = ["lang", "size", "phrase", "hash", "other"]
-    found = save(texts.mapInArrow(_spell(held), _SPELLED).groupBy(keys).agg(F.sum("n").alias("seen")), "spelled")
+    out = save(texts.mapInArrow(_spell(held), _SPELLED).groupBy(keys).agg(F.sum("n").alias("seen")), name)
     held.destroy()
-    phrases = found.where(F.col("size") > 0).join(counted, ["size", "hash", "other"])
-    totals = found.where(F.col("size") == 0).withColumn("n", F.col("seen"))
-    columns = ["lang", "size", "phrase", "n"]
-    return phrases.select(columns).union(totals.select(columns))
+    return out
 
 
 def _grown(known: dict[int, HashFilter], found: DataFrame, sizes) -> dict[int, HashFilter]:
@@ -350,7 +347,17 @@ def frequent_phrases(
     for found in passes[1:]:
         counted = counted.union(found)
     wanted = _grown(known, counted, [most]) if most not in known else known
-    return _spelled(texts, Border(most, known, {}, False, wanted), counted)
+    # Nearly all that is frequent stands in the sample too; the pass over all rows spells out what does not.
+    keys, columns = ["size", "hash", "other"], ["lang", "size", "phrase", "n"]
+    there = _spelled(some, Border(most, known, {}, False, wanted), "spelled-sample").where(F.col("size") > 0)
+    rest = save(counted.join(there, keys, "left_anti"), "not-spelled")
+    wanted = _grown({}, rest, range(1, most + 1))
+    all_rows = _spelled(texts, Border(most, known, {}, False, wanted), "spelled")
+    totals = all_rows.where(F.col("size") == 0).withColumn("n", F.col("seen"))
+    out = totals.select(columns)
+    for asked, found in ((counted, there), (rest, all_rows.where(F.col("size") > 0))):
+        out = out.union(found.join(asked, keys).select(columns))
+    return out
 
 
 def _upto(known: dict[int, HashFilter], size: int) -> dict[int, HashFilter]:
