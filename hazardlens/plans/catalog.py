@@ -17,6 +17,7 @@ from hazardlens.operators import rewrite as rw
 from hazardlens.plans.corpora import code_files, config_files, event_tokens
 from hazardlens.plans.pipeline import analyze
 from hazardlens.sources.corpus import read_table
+from hazardlens.sources.segments import cut_texts, detect_segments
 from hazardlens.sources.tree import decode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,12 @@ def label_by_source(spark, sf_dir):
     )
 
 
+def findings_in_segments(spark, sf_dir):
+    """The findings of files that are cut into segments of some 200 characters first."""
+    segments = cut_texts(code_files(spark, sf_dir), "doc_id", size=200)
+    return detect_segments(segments, "doc_id").withColumn("line", F.col("line").cast("int"))
+
+
 def findings_documents(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.explode_findings(d.detect(docs), "doc_id")
@@ -301,6 +308,7 @@ REWRITE_QUERIES = {
 QUERIES: dict[str, Query] = {
     "label_by_source": label_by_source,
     "findings": _long,
+    "findings_in_segments": findings_in_segments,
     "findings_documents": findings_documents,
     "findings_pages": findings_pages,
     "findings_conversations": findings_conversations,

@@ -303,6 +303,7 @@ ORACLES: dict[str, str] = {
     " JOIN labels_ USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM findings GROUP BY doc_id)"
     " USING (doc_id) GROUP BY source, label",
     "findings": _CODE + " SELECT * FROM findings",
+    "findings_in_segments": _CODE + " SELECT * FROM findings",
     "findings_documents": "WITH " + _findings("SELECT doc_id, text FROM documents", "doc_id") + " SELECT * FROM findings",
     "findings_pages": "WITH "
     + _findings("SELECT page_id, html AS text FROM pages", "page_id")
