@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hazardlens.operators.classify import REVIEW, SAFE, VIOLATION
@@ -50,15 +50,28 @@ def counts_by(detected: DataFrame, *group: str) -> DataFrame:
     )
 
 
-def corpus_summary(classified: DataFrame) -> DataFrame:
-    """One row of totals from a table with ``findings`` and ``label``."""
-    return classified.agg(
+def _totals() -> list[Column]:
+    return [
         F.count("*").alias("files"),
         F.coalesce(F.sum(F.size("findings")), F.lit(0)).cast("long").alias("findings"),
         F.count_if(F.col("label") == SAFE).alias("safe"),
         F.count_if(F.col("label") == REVIEW).alias("needs_review"),
         F.count_if(F.col("label") == VIOLATION).alias("security_violation"),
-    )
+    ]
+
+
+def corpus_summary(classified: DataFrame) -> DataFrame:
+    """One row of totals from a table with ``findings`` and ``label``."""
+    return classified.agg(*_totals())
+
+
+def observed_summary(classified: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same table, and the totals of ``corpus_summary`` that are taken while it is written or read.
+
+    ``observation.get`` has them as a dictionary after the first action, which scans the corpus once for both.
+    """
+    totals = Observation("totals")
+    return classified.observe(totals, *_totals()), totals
 
 
 def is_dangerous(pattern_type: Column) -> Column:

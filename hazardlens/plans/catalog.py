@@ -14,7 +14,7 @@ from hazardlens.operators import counts as n
 from hazardlens.operators import detect as d
 from hazardlens.operators import report as rep
 from hazardlens.operators import rewrite as rw
-from hazardlens.plans.corpora import code_files, config_files, event_tokens
+from hazardlens.plans.corpora import code_files, code_turns, config_files, event_tokens
 from hazardlens.plans.pipeline import analyze
 from hazardlens.sources.corpus import read_table
 from hazardlens.sources.segments import cut_texts, detect_segments
@@ -65,8 +65,8 @@ def findings_pages(spark, sf_dir):
 
 
 def findings_conversations(spark, sf_dir):
-    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return d.explode_findings(d.detect(turns), "conv_id", "turn")
+    """Findings in the turns of conversations, each with a code passage behind it."""
+    return d.explode_findings(d.detect(code_turns(spark, sf_dir)), "conv_id", "turn")
 
 
 def _rule_query(name: str) -> Query:

@@ -72,6 +72,13 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def code_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, turn, text: the turns of conversations, each with the passage of its conversation behind it."""
+    passage = F.get(F.lit(list(PASSAGES)), (F.col("conv_id") % len(PASSAGES)).cast("int"))
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return turns.select("conv_id", "turn", F.concat_ws("\n", "text", passage).alias("text"))
+
+
 def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """c_custkey, path, text."""
     shape = F.get(F.lit(list(SHAPES)), (F.col("c_custkey") % len(SHAPES)).cast("int"))
@@ -111,6 +118,10 @@ CODE_FILES_SQL = (
     f"concat(text, chr(10), {_case('doc_id', PASSAGES)}) AS text FROM documents"
 )
 
+CODE_TURNS_SQL = (
+    f"SELECT conv_id, turn, concat(text, chr(10), {_case('conv_id', PASSAGES)}) AS text FROM conversations"
+)
+
 CONFIG_FILES_SQL = (
     "SELECT c_custkey, 'customer_' || c_custkey || '.conf' AS path, "
     f"replace(replace(replace({_case('c_custkey', SHAPES)}, '{{name}}', c_name), "

@@ -7,7 +7,7 @@ there first and excluded from what may follow; it is taken out of the values aga
 
 from __future__ import annotations
 
-from hazardlens.plans.corpora import CODE_FILES_SQL, CONFIG_FILES_SQL, EVENT_TOKENS_SQL
+from hazardlens.plans.corpora import CODE_FILES_SQL, CODE_TURNS_SQL, CONFIG_FILES_SQL, EVENT_TOKENS_SQL
 
 # ---- fixed values: the patterns in the dialect of the check ---------------------------------------------------
 _WORDS = "password|passwd|pwd|secret|api[_-]?key|token|credential"
@@ -309,7 +309,7 @@ ORACLES: dict[str, str] = {
     + _findings("SELECT page_id, html AS text FROM pages", "page_id")
     + " SELECT * FROM findings",
     "findings_conversations": "WITH "
-    + _findings("SELECT conv_id, turn, text FROM conversations", "conv_id, turn")
+    + _findings(CODE_TURNS_SQL, "conv_id, turn")
     + " SELECT * FROM findings",
     **{
         f"rule_{name.lower()}": _CODE + f" SELECT doc_id, seq, value, line FROM findings WHERE pattern_type = '{name}'"
