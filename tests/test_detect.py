@@ -30,46 +30,47 @@ SNIPPETS = [
     ("print(colour)", []),
     ('print(f"{password}")', []),
     ("pprint(token_value )", ["PRINT_LEAK"]),
-    ('db_host = "192.168.1.100"', ["IPv4"]),
-    ('host = "10.0.0.1"', ["IPv4"]),
-    ('version = "999.999.999.999"', []),
+    ("route add 172.31.255.254 via eth1", ["IPv4"]),
+    ("allow=203.0.113.7,203.0.113.8", ["IPv4", "IPv4"]),
+    ("build 260.14.7.300 of 3.14", []),
     ("1.2.3.4.5", ["IPv4"]),
     ("é1.2.3.4", []),
     ("1.2.3.4é", []),
     ("١.٢.٣.٤", ["IPv4"]),
-    ('x = os.getenv("SECRET")', ["ENV_REF"]),
-    ('x = os.environ["SECRET_KEY"]', ["ENV_REF"]),
+    ("home = os.getenv( 'HOME')", []),
+    ("home = os.getenv ('HOME')", ["ENV_REF"]),
+    ("shell = os.environ[SHELL]", ["ENV_REF"]),
     ('os.getenv("A", "b")', []),
-    ("# TODO: remove hardcoded key", ["TODO"]),
-    ("# TODO move password to env var", ["TODO"]),
-    ("# this is a normal comment", []),
+    ("x = 1  #todo tidy up the loop", ["TODO"]),
+    ("#   ToDo", ["TODO"]),
+    ("# nothing to do here", []),
     ("#\nTODO x", ["TODO"]),
     ('# TODO password = "abc"', ["TODO"]),
-    ('url = "http://internal-service.local/api"', ["SUSPICIOUS_URL"]),
-    ("https://secure-api.com", []),
+    ("<a href='http://shop.example/cart?n=2'>", ["SUSPICIOUS_URL"]),
+    ("git clone https://code.example/r.git", []),
     ("http://10.0.0.1/x", ["SUSPICIOUS_URL"]),
-    ('logging.info(f"User pass is {password}")', ["LOG_LEAK"]),
-    ("logging.error(api_key)", ["LOG_LEAK"]),
-    ('logging.info("Server started successfully")', []),
+    ("logging.warning('rotated', old_token, n)", ["LOG_LEAK"]),
+    ("LOGGING.Error ( credential_id )", ["LOG_LEAK"]),
+    ("logging.debug('queue is empty')", []),
     ('logging.info(\n"x",\n token)', ["LOG_LEAK"]),
     ("logging.info(token", []),
     ("logging.critical(token)", []),
-    ("eval(user_input)", ["DANGEROUS_CALL"]),
-    ("exec(code_string)", ["DANGEROUS_CALL"]),
-    ("pickle.loads(payload)", ["DANGEROUS_CALL"]),
-    ("user_input = eval(request.data)", ["DANGEROUS_CALL"]),
+    ("y = eval (formula)", ["DANGEROUS_CALL"]),
+    ("cursor.Exec(plan)", ["DANGEROUS_CALL"]),
+    ("return pickle.loads(queue.get())", ["DANGEROUS_CALL"]),
+    ("evaluate(formula)", []),
     ("retrieval(x)", ["DANGEROUS_CALL"]),
-    ('requests.get("https://api.com", verify=False)', ["INSECURE_REQUEST"]),
-    ('requests.get("https://api.com", verify=True)', []),
+    ("session.verify = false", ["INSECURE_REQUEST"]),
+    ("Client(verify=ca_bundle)", []),
     ("DB_PASSWORD=x12", ["HARDCODED_CRED"]),
     ("password = get_secret()", ["HARDCODED_CRED"]),
     ('password_hash = "abc"', []),
     ('password = "a\nb"', ["HARDCODED_CRED"]),
     ('password = "a"', []),
     ("", []),
-    ("# just a comment\n", []),
-    ('password = "abc123"\nsecret = "xyz789"\nprint(password)\n', ["HARDCODED_CRED", "HARDCODED_CRED", "PRINT_LEAK"]),
-    ('import os\nsecret = os.getenv("SECRET")\ntoken = os.environ["TOKEN"]\n', ["ENV_REF", "ENV_REF"]),
+    ("\n#\n", []),
+    ("pwd='oak'\ncredential = elm-tree\nprint( pwd )\n", ["HARDCODED_CRED", "HARDCODED_CRED", "PRINT_LEAK"]),
+    ("a = os.environ['A']\nb = os.getenv(\"B\")", ["ENV_REF", "ENV_REF"]),
     ("toKen = abcd", ["HARDCODED_CRED"]),
     ("paſsword = abcd", ["HARDCODED_CRED"]),
     ("credentİal = abcd", ["HARDCODED_CRED"]),
@@ -94,8 +95,8 @@ def test_snippets(spark):
 
 
 def test_positions_and_null_text(spark):
-    rows = collect(spark, ['\n\npassword = "admin123"\n', None, "a\r\ntoken = abcd\r\n"])
-    assert [(r.value, r.line) for r in rows[0]] == [('password = "admin123"', 3)]
+    rows = collect(spark, ["\n\npwd = 'granite'\n", None, "a\r\ntoken = abcd\r\n"])
+    assert [(r.value, r.line) for r in rows[0]] == [("pwd = 'granite'", 3)]
     assert rows[1] == []
     assert [(r.value, r.line) for r in rows[2]] == [("token = abcd", 2)]
 
