@@ -18,7 +18,7 @@ from hazardlens.plans.corpora import code_files, code_turns, config_files, event
 from hazardlens.plans.pipeline import analyze
 from hazardlens.sources.corpus import read_table
 from hazardlens.sources.segments import cut_texts, detect_segments
-from hazardlens.sources.tree import decode
+from hazardlens.sources.tree import decoded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,10 +282,7 @@ def decode_files(spark, sf_dir):
         raw.alias("content"),
         F.lit(None).cast("string").alias("reason"),
     )
-    files, rejected = decode(contents)
-    return files.select(
-        "path", "ext", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.lit(None).cast("string").alias("reason")
-    ).unionByName(rejected, allowMissingColumns=True)
+    return decoded(contents).select("path", "ext", F.md5(F.col("text").cast("binary")).alias("text_md5"), "reason")
 
 
 def insecure_page_urls(spark, sf_dir):

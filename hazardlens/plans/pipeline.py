@@ -11,7 +11,7 @@ from hazardlens.operators.config_audit import audit, config_audit, missing_file,
 from hazardlens.operators.counts import summary_map
 from hazardlens.operators.detect import tokens
 from hazardlens.operators.rewrite import rewrite
-from hazardlens.sources.tree import read_tree
+from hazardlens.sources.tree import decoded, list_tree, read_listed
 
 # ---- fixed values: texts of the report ------------------------------------------------------------------------
 AUDITED_SUFFIX = ".conf"
@@ -86,11 +86,11 @@ def analyze(
 def audit_tree(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Audit of the configuration files under a path: a row per file, also of those that are missing, cannot be read
     or are not UTF-8; they are invalid results, not errors."""
-    files, rejected = read_tree(spark, path, recursive, (AUDITED_SUFFIX,))
-    failed = rejected.select(
-        "path",
-        F.when(F.col("reason") == "not_found", missing_file(F.col("path")))
-        .otherwise(rejected_file(F.col("path"), F.col("reason")))
-        .alias("_a"),
+    rows = decoded(read_listed(list_tree(spark, path, recursive, (AUDITED_SUFFIX,))))
+    reason, name = F.col("reason"), F.col("path")
+    result = (
+        F.when(reason.isNull(), audit(F.col("text")))
+        .when(reason == "not_found", missing_file(name))
+        .otherwise(rejected_file(name, reason))
     )
-    return config_audit(files, "path").unionByName(failed.select("path", "_a.*"))
+    return rows.select("path", result.alias("_a")).select("path", "_a.*")

@@ -68,10 +68,10 @@ def test_tree_scan_recursive(spark, tree):
     assert {r.ext for r in files.collect()} == {".py", ".conf"} | {".py"}
 
 
-def test_listing_units_cover_the_tree(spark, tree):
-    want = sorted(r.path for r in list_tree(spark, tree, True, units=1).collect())
-    for units in (2, 3, 100):
-        assert sorted(r.path for r in list_tree(spark, tree, True, units=units).collect()) == want
+def test_listing_turns_cover_the_tree(spark, tree):
+    want = sorted(r.path for r in list_tree(spark, tree, True).collect())
+    for turn in (1, 2, 3, 100):
+        assert sorted(r.path for r in list_tree(spark, tree, True, turn=turn).collect()) == want
 
 
 def test_single_file_and_missing_path(spark, tree):
