@@ -15,10 +15,10 @@ from hazardlens.operators import detect as d
 from hazardlens.operators import report as rep
 from hazardlens.operators import rewrite as rw
 from hazardlens.plans.corpora import code_files, code_turns, config_files, event_tokens
-from hazardlens.plans.pipeline import analyze
+from hazardlens.plans.pipeline import analyze, audit_contents
 from hazardlens.sources.corpus import read_table
 from hazardlens.sources.segments import cut_texts, detect_segments
-from hazardlens.sources.tree import decoded
+from hazardlens.sources.tree import decode, decoded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,9 +246,8 @@ def _all_files(spark, sf_dir) -> DataFrame:
     return code_files(spark, sf_dir).select("path", "text").union(config_files(spark, sf_dir).select("path", "text"))
 
 
-def file_report(spark, sf_dir):
-    """The whole scan over code and configuration files, in scalar columns."""
-    return analyze(_all_files(spark, sf_dir)).select(
+def _file_report(files: DataFrame) -> DataFrame:
+    return analyze(files).select(
         "filepath",
         F.size("findings").alias("findings"),
         F.size("summary").alias("rules"),
@@ -261,6 +260,11 @@ def file_report(spark, sf_dir):
     )
 
 
+def file_report(spark, sf_dir):
+    """The whole scan over code and configuration files, in scalar columns."""
+    return _file_report(_all_files(spark, sf_dir))
+
+
 def file_report_json(spark, sf_dir):
     return rep.report_json(analyze(_all_files(spark, sf_dir)))
 
@@ -285,6 +289,28 @@ def decode_files(spark, sf_dir):
     return decoded(contents).select("path", "ext", F.md5(F.col("text").cast("binary")).alias("text_md5"), "reason")
 
 
+def _contents(files: DataFrame) -> DataFrame:
+    """Files as they could be read: by the number in the path some are missing, broken, or have CR LF line ends."""
+    text, kind = F.col("text"), F.regexp_extract("path", "[0-9]+", 0).cast("bigint") % 11
+    raw = F.replace(text, F.lit("\n"), F.when(kind == 5, "\r\n").otherwise("\n")).cast("binary")
+    return files.select(
+        "path",
+        F.when(kind != 7, F.when(kind == 3, F.concat(raw, F.unhex(F.lit("FF")))).otherwise(raw)).alias("content"),
+        F.when(kind == 7, "not_found").alias("reason"),
+    )
+
+
+def audit_read_files(spark, sf_dir):
+    """From read configuration files to their audit, missing and broken ones included."""
+    return audit_contents(_contents(config_files(spark, sf_dir))).drop("errors")
+
+
+def file_report_read(spark, sf_dir):
+    """From read files to their reports; missing and broken ones have none."""
+    files, _ = decode(_contents(_all_files(spark, sf_dir)))
+    return _file_report(files)
+
+
 def insecure_page_urls(spark, sf_dir):
     """Plain-HTTP page addresses and their secure form."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
@@ -341,5 +367,7 @@ QUERIES: dict[str, Query] = {
     "file_report_json": file_report_json,
     "file_report_text": file_report_text,
     "decode_files": decode_files,
+    "audit_read_files": audit_read_files,
+    "file_report_read": file_report_read,
     "insecure_page_urls": insecure_page_urls,
 }

@@ -470,3 +470,16 @@ FROM files CROSS JOIN frame JOIN labels_ l USING (file) LEFT JOIN listed s USING
     + " SELECT page_id, value, replace(value, 'http://', 'https://') AS secure FROM findings"
     " WHERE pattern_type = 'SUSPICIOUS_URL'",
 }
+
+# Files as they could be read: by the number in the path some are missing or broken.
+_KIND = "CAST(regexp_extract(%s, '[0-9]+', 0) AS BIGINT) %% 11"
+ORACLES |= {
+    "audit_read_files": f"""SELECT path, is_valid AND kind NOT IN (3, 7) AS is_valid,
+  CASE WHEN kind IN (3, 7) THEN 0 ELSE sections_found END AS sections_found,
+  CASE WHEN kind IN (3, 7) THEN 1 ELSE n_errors END AS n_errors,
+  CASE kind WHEN 3 THEN 'File not readable: ' || path || ' (not_utf8)' WHEN 7 THEN 'File not found: ' || path
+    ELSE message END AS message
+FROM (SELECT *, 'customer_' || c_custkey || '.conf' AS path, {_KIND % "CAST(c_custkey AS VARCHAR)"} AS kind
+  FROM ({ORACLES["config_audit"]}))""",
+    "file_report_read": f"SELECT * FROM ({ORACLES['file_report']}) WHERE {_KIND % 'filepath'} NOT IN (3, 7)",
+}

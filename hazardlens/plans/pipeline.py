@@ -83,14 +83,18 @@ def analyze(
     )
 
 
-def audit_tree(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """Audit of the configuration files under a path: a row per file, also of those that are missing, cannot be read
-    or are not UTF-8; they are invalid results, not errors."""
-    rows = decoded(read_listed(list_tree(spark, path, recursive, (AUDITED_SUFFIX,))))
+def audit_contents(contents: DataFrame) -> DataFrame:
+    """Audit of read contents (``path``, ``content``, ``reason``): a row per file, also of those that are missing, cannot be
+    read or are not UTF-8; they are invalid results, not errors."""
     reason, name = F.col("reason"), F.col("path")
     result = (
         F.when(reason.isNull(), audit(F.col("text")))
         .when(reason == "not_found", missing_file(name))
         .otherwise(rejected_file(name, reason))
     )
-    return rows.select("path", result.alias("_a")).select("path", "_a.*")
+    return decoded(contents).select("path", result.alias("_a")).select("path", "_a.*")
+
+
+def audit_tree(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Audit of the configuration files under a path, as ``audit_contents`` gives it."""
+    return audit_contents(read_listed(list_tree(spark, path, recursive, (AUDITED_SUFFIX,))))
