@@ -5,17 +5,21 @@ Three forms of the same computation:
 * ``classify`` folds an array column, row by row (the tokens of one file).
 * ``classify_long`` works on a long table for the default table, with nothing but min/max/count per key, so
   that a key holding any share of the rows is reduced before it is shuffled.
-* ``classify_long_runs`` works on a long table for any transition table: the table is cut into runs of ordered
-  rows, each run is folded from every state, and the runs of a key are composed.
+* ``classify_long_runs`` works on a long table for any transition table: the table is cut into ranges of ordered
+  rows, the rows of a key in a range are folded from every state, and the vectors of a key are composed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from hazardlens.functions.text import let
 
@@ -266,26 +270,91 @@ def classify_long(
     )
 
 
-def _compose(runs: DataFrame, by: Sequence[str], run: str) -> DataFrame:
-    """One vector "end state per start state" for the consecutive runs of each group, in the order of ``run``."""
+FOLDED = ("_run", "_n", "_ends")
 
-    def through(start: Column, ordered: Column) -> Column:
-        return F.aggregate(ordered, start, lambda state, r: F.get(r["_ends"], state))
 
-    return (
-        runs.groupBy(*by)
-        .agg(F.sum("_n").alias("_n"), F.array_sort(F.collect_list(F.struct(run, "_ends"))).alias("_runs"))
-        .select(
-            *by,
-            "_n",
-            let(
-                F.col("_runs"),
-                lambda ordered: F.transform(
-                    F.sequence(F.lit(0), F.size(ordered[0]["_ends"]) - 1), lambda s: through(s, ordered)
-                ),
-            ).alias("_ends"),
+def _fold(steps: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """End state per start state for each stretch of ``codes``; ``starts`` are the places where a stretch begins.
+
+    Neighbours are composed in pairs, turn by turn, so the work is linear and a stretch takes the logarithm of its length
+    in turns.
+    """
+    ends = steps.T[codes]
+    stretch = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(codes))))
+    while len(ends) > len(starts):
+        first = np.searchsorted(stretch, stretch)
+        left = np.flatnonzero((np.arange(len(stretch)) - first) % 2 == 0)
+        paired = left[:-1] if left[-1] == len(stretch) - 1 else left
+        paired = paired[stretch[paired + 1] == stretch[paired]]
+        ends[paired] = np.take_along_axis(ends[paired + 1], ends[paired], axis=1)
+        ends, stretch = ends[left], stretch[left]
+    return ends
+
+
+def _stretches(df: DataFrame, key: Sequence[str], order: Sequence[str], token: str, table: TransitionTable, rows: int):
+    """Key, ``_run``, ``_n`` and ``_ends``: the rows of a key in a partition as one vector, ``_run`` in their order.
+
+    Partitions are ranges of (key, order), so a key has as many of them as its share of the rows asks for.
+    """
+    width, states = len(table.alphabet) + 1, table.states
+    steps = np.repeat(np.arange(len(states), dtype=np.int32)[:, None], width, axis=1)
+    for source, symbol, target in table.rows:
+        steps[states.index(source), table.alphabet.index(symbol) + 1] = states.index(target)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = TaskContext.get().partitionId() << 40
+        held = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                keys = part.select(list(range(len(key))))
+                new = np.zeros(part.num_rows, dtype=bool)
+                new[0] = True
+                for column in keys.columns:
+                    numbers = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+                    new[1:] |= numbers[1:] != numbers[:-1]
+                starts = np.flatnonzero(new)
+                ends = _fold(steps, part.column("_code").to_numpy(), starts)
+                counts = np.diff(np.append(starts, part.num_rows))
+                found = keys.take(pa.array(starts))
+                # The last stretch may go on in the next rows, so it is held back.
+                if held is not None:
+                    if held[0].to_pylist() == found.slice(0, 1).to_pylist():
+                        ends[0] = ends[0][held[2]]
+                        counts[0] += held[1]
+                    else:
+                        yield told(held[0], run, [held[1]], held[2][None])
+                        run += 1
+                done = len(starts) - 1
+                if done:
+                    yield told(found.slice(0, done), run, counts[:done], ends[:done])
+                    run += done
+                held = (found.slice(done, 1), counts[done], ends[done])
+        if held is not None:
+            yield told(held[0], run, [held[1]], held[2][None])
+
+    def told(keys: pa.RecordBatch, run: int, counts: Sequence[int], ends: np.ndarray) -> pa.RecordBatch:
+        offsets = np.arange(len(ends) + 1, dtype=np.int32) * ends.shape[1]
+        vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ends.ravel()))
+        numbers = pa.array(np.arange(run, run + len(ends), dtype=np.int64))
+        return pa.RecordBatch.from_arrays(
+            [*keys.columns, numbers, pa.array(counts, pa.int64()), vectors], names=[*keys.schema.names, *FOLDED]
         )
+
+    ordered = (
+        df.select(*key, *order, table.token_code(F.col(token)).alias("_code"))
+        .repartitionByRange(*key, *order)
+        .sortWithinPartitions(*key, *order, "_code")
+        .select(*key, "_code")
+    )
+    schema = StructType(
+        [StructField(f.name, f.dataType) for f in ordered.schema.fields[:-1]]
+        + [
+            StructField(name, kind)
+            for name, kind in zip(FOLDED, (LongType(), LongType(), ArrayType(IntegerType())), strict=True)
+        ]
     )
+    return ordered.mapInArrow(fold, schema)
 
 
 def classify_long_runs(
@@ -294,41 +363,25 @@ def classify_long_runs(
     order: Sequence[str],
     token: str = "token",
     table: TransitionTable = DEFAULT_TABLE,
-    run_rows: int = 4096,
+    run_rows: int = 65536,
 ) -> DataFrame:
     """Classify each key of a long token table with any transition table.
 
-    Rows are ordered by (key, order) over range partitions and numbered; ``run_rows`` consecutive numbers are a run.
-    A run of a key becomes one vector, the end state for each start state. ``run_rows`` runs are then composed to a
-    block, and the blocks to the result, so an array holds at most ``run_rows`` items below the last level, whatever
-    the size of a key or a partition. Rows of equal order are taken by token.
+    Rows are shuffled once, to ranges of (key, order). Each task folds its sorted rows, ``run_rows`` at a time, to one
+    vector per key, the end state for each start state; vectors are composed per key in the order of the ranges. So a key
+    has at most one vector per partition, whatever its number of rows. Rows of equal order are taken by token.
     """
-    key, order = list(key), list(order)
-    codes = F.transform(F.array_sort("_rows"), lambda r: r["_code"].cast("int"))
-    runs = (
-        df.select(*key, *order, table.token_code(F.col(token)).cast("byte").alias("_code"))
-        .repartitionByRange(*key, *order)
-        .sortWithinPartitions(*key, *order, "_code")
-        # Numbers grow with the partition, and within it with the row.
-        .select(*key, "_code", F.monotonically_increasing_id().alias("_at"))
-        .withColumn("_run", F.floor(F.col("_at") / run_rows))
-        .groupBy(*key, "_run")
-        .agg(F.count("*").alias("_n"), F.collect_list(F.struct("_at", "_code")).alias("_rows"))
+    key = list(key)
+    composed = (
+        _stretches(df, key, order, token, table, run_rows)
+        .groupBy(*key)
+        .agg(F.sum("_n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("_run", "_ends"))).alias("_runs"))
         .select(
             *key,
-            "_run",
-            F.floor(F.col("_run") / run_rows).alias("_block"),
-            "_n",
-            let(
-                codes,
-                lambda all_codes: F.transform(
-                    F.lit(list(range(len(table.states)))), lambda s: F.aggregate(all_codes, s, table.step)
-                ),
-            ).alias("_ends"),
+            "n_tokens",
+            F.aggregate("_runs", F.lit(0), lambda state, r: F.get(r["_ends"], state)).alias("_number"),
         )
-    )
-    composed = _compose(_compose(runs, [*key, "_block"], "_run"), key, "_block").select(
-        *key, F.col("_n").alias("n_tokens"), F.get(F.lit(table.states), F.get("_ends", F.lit(0))).alias("_state")
+        .select(*key, "n_tokens", F.get(F.lit(table.states), F.col("_number")).alias("_state"))
     )
     parts = table.result(F.col("_state"), F.lit(False))
     return composed.select(*key, "n_tokens", *(parts[c].alias(c) for c in ("label", "final_state", "message")))

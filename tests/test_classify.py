@@ -123,6 +123,39 @@ def test_runs_of_one_key_with_nearly_all_rows(spark):
         assert got[-1] == (n - n // 10, "q_violation") and len(got) == 1 + n // 10
 
 
+def test_a_hot_key_is_shared_out(spark):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), "id", F.lit(E).alias("token")
+    )
+    tasks = c._stretches(rows.repartition(8), ["k"], ["id"], "token", c.DEFAULT_TABLE, 1000).where("k = -1")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        counts = [r._n for r in tasks.collect()]
+    finally:
+        spark.conf.unset(coalesce)
+    assert sum(counts) == 36_000 and max(counts) < 1.5 * 40_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = c.classify_long_runs(rows, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Generate" not in plan
+
+
+def test_fold_equals_steps_one_by_one():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    steps = rng.integers(0, 5, (5, 4))
+    for n in (1, 2, 3, 7, 64, 501):
+        codes = rng.integers(0, 4, n)
+        starts = np.unique(np.append(0, rng.integers(0, n, n // 3)))
+        got = c._fold(steps, codes, starts)
+        for where, (a, b) in enumerate(zip(starts, np.append(starts[1:], n), strict=True)):
+            for state in range(5):
+                end = state
+                for code in codes[a:b]:
+                    end = steps[end, code]
+                assert got[where, state] == end
+
+
 def test_other_table(spark):
     parity = c.TransitionTable("even", (("even", "x", "odd"), ("odd", "x", "even")), {"even": "E", "odd": "O"})
     rows = [(k, pos, "x" if pos % 2 else "y") for k in range(5) for pos in range(k * 3)]
