@@ -6,12 +6,13 @@ position.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hazardlens.functions.hints import derived, is_telling
 from hazardlens.functions.text import DIGIT, FIELD, ODD_CASE, SPACE, WORD, S, any_case, let, one_of
 
 
@@ -21,7 +22,7 @@ class Rule:
 
     ``starts``: lower-case literals, one of which opens every match. ``needs``: groups of lower-case literals;
     a text can match only if it holds a member of each group. ``probe``: a cheap pattern found in every text
-    that can match. All three only save time; empty ones mean "cannot tell".
+    that can match. All three only save time; where a rule has none of them, ``with_hints`` derives them.
     """
 
     name: str
@@ -110,6 +111,22 @@ RULES: tuple[Rule, ...] = (
 )
 
 
+def with_hints(rules: tuple[Rule, ...]) -> tuple[Rule, ...]:
+    """The rules, those without any hint with hints derived from their patterns.
+
+    A rule whose literals are single characters, or none, is its own probe: texts without a match are passed over before
+    all rules are tried on them.
+    """
+
+    def hinted(rule: Rule) -> Rule:
+        if rule.starts or rule.needs or rule.probe:
+            return rule
+        starts, needs = derived(rule.pattern)
+        return replace(rule, starts=starts, needs=needs, probe="" if is_telling(needs) else rule.pattern)
+
+    return tuple(map(hinted, rules))
+
+
 def _guard(text: Column, char: str) -> Column:
     """A string that does not occur in ``text`` and that no rule can match at its start."""
     return F.when(F.contains(text, F.lit(char)), F.concat(F.lit(char), F.sha2(text, 256), F.lit(char))).otherwise(

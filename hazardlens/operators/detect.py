@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.functions.rules import RULES, Rule, hush, master_pattern, master_replacement, may_match
+from hazardlens.functions.rules import RULES, Rule, hush, master_pattern, master_replacement, may_match, with_hints
 from hazardlens.functions.text import (
     FIELD,
     MARK,
@@ -35,9 +35,11 @@ def cut_at_matches(
     is one unit because matches may span lines. With ``only``, texts that none of these rules can match are
     passed over; the others are still cut with all rules, because a match takes its text from other rules.
     """
+    defaults = set(rules) <= set(RULES)
+    rules = with_hints(rules)
     wanted = rules if only is None else tuple(r for r in rules if r.name in only)
     # A guard could change what rules of others match.
-    hushed = hush(F.col(text), F.col("_lower")) if set(rules) <= set(RULES) else F.struct(F.col(text).alias("text"), F.lit("").alias("guard"))
+    hushed = hush(F.col(text), F.col("_lower")) if defaults else F.struct(F.col(text).alias("text"), F.lit("").alias("guard"))
     marked = F.regexp_replace(
         F.col("_hushed")["text"], F.lit(master_pattern(rules)), master_replacement(F.col("_sep"), rules)
     )
