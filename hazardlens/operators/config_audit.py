@@ -46,6 +46,9 @@ _STRING = "(?>" + "|".join(rf"{closed}|{q}(?s:.*){q}" for q, closed in _CLOSED.i
 _VALUE = rf"\$\{{{_B}({_ID}){_B}\}}|({_STRING})|([-+]?[0-9]++(?!{WORD}))|(true|false)"
 # Groups: 1 section name, 2 key, 3-6 the value kinds, 7 closing bracket, 8 everything from the first misfit on.
 _PIECE = rf"({_ID}){_B}\{{|({_ID}){_B}={_B}(?:{_VALUE}){_B};|(\}})|([^ \t\n\r](?s:.*))"
+# What of a misfit is still in place, outside and inside of sections; the token behind it is the one that fails.
+_IN_PLACE_OUTSIDE = rf"\A(?:{_ID}{_B})?"
+_IN_PLACE_INSIDE = rf"\A(?:{_ID}{_B}(?:={_B}(?:(?!(?:true|false){WORD})(?:{_VALUE}){_B})?)?)?"
 _VALUE_KINDS = ("ENV_REF", "STRING", "INT", "BOOL")
 
 PIECE = "struct<pos:int,kind:string,key:string,value_kind:string,value:string,char_offset:int>"
@@ -159,7 +162,8 @@ def with_paths(pieces: Column) -> Column:
 
 
 def structure(pieces: Column) -> Column:
-    """struct(depth, sections, bad_at): final depth, top-level sections, and the first misplaced piece.
+    """struct(depth, sections, bad_at, bad_depth): final depth, top-level sections, the first misplaced piece, and the
+    brackets open before it.
 
     ``bad_at`` is null where every piece is in place; the text is well formed iff it is null, depth is 0 and
     there is a section.
@@ -169,6 +173,7 @@ def structure(pieces: Column) -> Column:
         F.lit(0).alias("sections"),
         F.lit("").alias("previous"),
         F.lit(None).cast("int").alias("bad_at"),
+        F.lit(None).cast("int").alias("bad_depth"),
     )
 
     def step(s: Column, p: Column) -> Column:
@@ -183,13 +188,24 @@ def structure(pieces: Column) -> Column:
             (s["sections"] + F.when((p["kind"] == "OPEN") & (s["depth"] == 0), 1).otherwise(0)).alias("sections"),
             p["kind"].alias("previous"),
             F.coalesce(s["bad_at"], F.when(misplaced, p["char_offset"])).alias("bad_at"),
+            F.coalesce(s["bad_depth"], F.when(misplaced, s["depth"])).alias("bad_depth"),
         )
 
     return F.aggregate(
         pieces,
         zero,
         step,
-        lambda s: F.struct(s["depth"].alias("depth"), s["sections"].alias("sections"), s["bad_at"].alias("bad_at")),
+        lambda s: F.struct(*(s[name].alias(name) for name in ("depth", "sections", "bad_at", "bad_depth"))),
+    )
+
+
+def failing_token(text: Column, bad_at: Column, bad_depth: Column) -> Column:
+    """Offset of the first token that cannot stand where it does, in the piece at ``bad_at``."""
+    rest = F.substring(text, bad_at + 1, F.length(text))
+    return bad_at + F.length(
+        F.when(bad_depth == 0, F.regexp_extract(rest, _IN_PLACE_OUTSIDE, 0)).otherwise(
+            F.regexp_extract(rest, _IN_PLACE_INSIDE, 0)
+        )
     )
 
 
@@ -274,7 +290,7 @@ def audit(text: Column, sensitive_keys: Sequence[str] = SENSITIVE_KEYS) -> Colum
     def judge(x: Column) -> Column:
         s = x["structure"]
         return (
-            F.when(s["bad_at"].isNotNull(), malformed(s["bad_at"]))
+            F.when(s["bad_at"].isNotNull(), malformed(failing_token(text, s["bad_at"], s["bad_depth"])))
             .when((s["depth"] != 0) | (s["sections"] == 0), malformed(F.length(text)))
             .otherwise(well_formed(x["pieces"], s["sections"]))
         )

@@ -32,6 +32,11 @@ _CONFIG = (
     r"|(\"(?:[^\"\\]|\\+[^\"\\]|\\+\")*\"|'(?:[^'\\]|\\+[^'\\]|\\+')*')|([-+]?[0-9]+\b)|(true|false))[ \t\n\r]*;"
     r"|(\})|([^ \t\n\r](?s:.*))"
 )
+_IN_PLACE_OUTSIDE = r"^(?:[^\W\d]\w*[ \t\n\r]*)?"
+_IN_PLACE_INSIDE = (
+    r"^(?:[^\W\d]\w*[ \t\n\r]*(?:=[ \t\n\r]*(?:(?:\$\{[ \t\n\r]*[^\W\d]\w*[ \t\n\r]*\}"
+    r"|\"(?:[^\"\\]|\\+[^\"\\]|\\+\")*\"|'(?:[^'\\]|\\+[^'\\]|\\+')*'|[-+]?[0-9]+\b|(?:true|false)\b)[ \t\n\r]*)?)?)?"
+)
 # ---- end of fixed values --------------------------------------------------------------------------------------
 
 _MASTER = "(?i)" + "|".join(f"({p})" for p in _PATTERNS.values())
@@ -210,14 +215,16 @@ checked AS (SELECT *, kind = 'BAD' OR depth < 0 OR (kind = 'ASSIGN' AND depth <
     OR (kind = 'CLOSE' AND previous = 'OPEN') AS misplaced FROM walked),
 shape AS (SELECT {key}, CAST(max_by(depth, pos) AS INTEGER) AS depth,
     CAST(count(*) FILTER (kind = 'OPEN' AND depth = 1) AS INTEGER) AS sections,
-    min(char_offset) FILTER (misplaced) AS bad_at FROM checked GROUP BY {key}),
-structure AS (SELECT {key}, text, coalesce(depth, 0) AS depth, coalesce(sections, 0) AS sections, bad_at,
+    min(char_offset) FILTER (misplaced) AS bad_at, min_by(depth, char_offset) FILTER (misplaced) AS bad_depth FROM checked GROUP BY {key}),
+structure AS (SELECT {key}, text, coalesce(depth, 0) AS depth, coalesce(sections, 0) AS sections, bad_at, bad_depth,
     bad_at IS NULL AND coalesce(depth, 0) = 0 AND coalesce(sections, 0) > 0 AS well_formed
   FROM configs LEFT JOIN shape USING ({key})),
 insecure AS (SELECT {key}, pos, key, char_offset FROM pieces JOIN structure USING ({key})
   WHERE well_formed AND kind = 'ASSIGN' AND value_kind <> 'ENV_REF' AND lower(key) IN ('password', 'passwd', 'pwd',
     'secret', 'api_key', 'token', 'credential', 'db_password', 'api_secret')),
-spots AS (SELECT *, regexp_matches(text, '^\\s*$') AS blank, substr(text, 1, coalesce(bad_at, len(text))) AS prefix
+spots AS (SELECT *, regexp_matches(text, '^\\s*$') AS blank, substr(text, 1, coalesce(bad_at + len(
+    CASE WHEN bad_depth = 0 THEN regexp_extract(substr(text, bad_at + 1), {_q(_IN_PLACE_OUTSIDE)})
+      ELSE regexp_extract(substr(text, bad_at + 1), {_q(_IN_PLACE_INSIDE)}) END), len(text))) AS prefix
   FROM structure),
 audit AS (SELECT {key}, NOT blank AND well_formed AND coalesce(n, 0) = 0 AS is_valid,
     CAST(CASE WHEN NOT blank AND well_formed THEN sections ELSE 0 END AS INTEGER) AS sections_found,

@@ -71,7 +71,7 @@ def test_malformed(spark):
         assert (row.is_valid, row.sections_found, row.n_errors) == (False, 0, 1), text
         assert row.message.startswith("Syntax error at line "), text
     row = audit(spark, ["a {\n  x = 1;\n  oops\n}"])[0]
-    assert row.message == "Syntax error at line 3, col 3"
+    assert row.message == "Syntax error at line 4, col 1"
 
 
 def test_empty(spark):
@@ -154,3 +154,30 @@ def test_large_text(spark):
     df = spark.createDataFrame([(1, text)], "file_id int, text string")
     assert ca.config_audit(df, "file_id").first().message == "Found 1 insecure key(s)"
     assert ca.config_entries(df, "file_id").agg(F.count("*"), F.max("pos")).first() == (n + 2, n + 1)
+
+
+FAILING = [
+    # (text, what stands at the reported place)
+    ('db { a = "x" password = "y"; }', 'password = "y"'),
+    ('db {\n  host "x";\n}', '"x";'),
+    ('db { a = 5x; }', "5x;"),
+    ("db { a = trueish; }", "trueish;"),
+    ('db { a = "x"b; }', "b; }"),
+    ("db { a = ${X} }", "}"),
+    ("db { = 3; }", "= 3;"),
+    ('host = "x";\n', '= "x"'),
+    ("db 5 { }", "5 {"),
+    ("db { }", "}"),
+    ("db { a = 1; } }", "}"),
+    ("db { a = 1;\n", ""),
+    ("db { a", ""),
+]
+
+
+def test_place_of_the_failing_token(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(FAILING)], "k int, text string")
+    for row in ca.config_issues(df, "k").collect():
+        text, token = FAILING[row.k]
+        lines = text.split("\n")
+        at = sum(len(x) + 1 for x in lines[: row.line - 1]) + row.column - 1
+        assert text[at:].startswith(token) and (token or at == len(text)), (text, row.line, row.column)
