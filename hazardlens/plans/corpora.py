@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.sources.corpus import read_table
+from hazardlens.sources.corpus import dealt, read_table
 
 # Passage by doc_id modulo the number of passages.
 PASSAGES = (
@@ -80,11 +80,11 @@ def code_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """c_custkey, path, text."""
+    """c_custkey, path, text; the short rows of customers are dealt to all tasks before they become texts."""
     shape = F.get(F.lit(list(SHAPES)), (F.col("c_custkey") % len(SHAPES)).cast("int"))
     for mark, value in (("{name}", "c_name"), ("{key}", "c_custkey"), ("{segment}", "c_mktsegment")):
         shape = F.replace(shape, F.lit(mark), F.col(value).cast("string"))
-    rows = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = dealt(read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))
     return rows.select(
         "c_custkey",
         F.concat(F.lit("customer_"), F.col("c_custkey"), F.lit(".conf")).alias("path"),

@@ -51,3 +51,19 @@ def test_scan_without_shuffle(spark):
 def test_column_pruning(spark, sf_dir):
     plan = _plan(entry.queries()["classify_files"](spark, sf_dir))
     assert "n_chars" not in plan and "lang" not in plan
+
+
+def test_config_files_keep_all_cores_busy(spark, tmp_path):
+    """A table that one task scans becomes texts in all of them, with every row, repeated and null keys included."""
+    from hazardlens.plans.corpora import config_files
+
+    rows = [(k % 900, f"name {k}", "AUTO") for k in range(1000)] + [(None, None, None)]
+    table = spark.createDataFrame(rows, "c_custkey long, c_name string, c_mktsegment string")
+    table.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    assert spark.read.parquet(str(tmp_path / "customer.parquet")).rdd.getNumPartitions() == 1
+    files = config_files(spark, str(tmp_path))
+    sizes = files.rdd.mapPartitions(lambda some: [sum(1 for _ in some)]).collect()
+    assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism
+    assert max(sizes) <= 2 * 1001 / len(sizes)
+    assert sorted(r.c_custkey for r in files.where("path IS NOT NULL").collect()) == sorted(k for k, *_ in rows[:-1])
+    assert files.count() == 1001
