@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from hazardlens.llm import decontaminate, jaccard, packing, secret_scan, toxicity
 from hazardlens.llm.storage import save
 
-REMEMBERED = 32 << 20
+#: Bytes; an executor of 3000 MB also holds its JVM and what workers keep of the stages before.
+REMEMBERED = 16 << 20
 #: No stage but the fourth can be said in SQL; the tests hold the result against brute force.
 ORACLE_SQL = None
 

@@ -28,6 +28,9 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 REMEMBERED = 96 << 20
 #: What an entry of the memory takes besides its characters and ids.
 ENTRY = 160
+#: Bytes of text that a task looks at together: the first at most, or this part of what it remembers, but not less than
+#: the last. Until they are in the memory, new words, pieces and ids of a slice take many times its size.
+SLICE, SHARE, LEAST = 4 << 20, 16, 1 << 16
 
 _PROBE = ["It's a Probe, Été don't 42 ab-cd; (x) é İI ΣΣ end.\n\nNew\tline <|endoftext|> ok!", "x²ª\xa0½'S a\x0bb\x85c", ""]
 #: Bytes that no word holds.
@@ -212,11 +215,14 @@ def encoder(path: str = VOCABULARY, remembered: int = REMEMBERED, kind: type[Enc
 
 
 def encoded(batches, path: str, remembered: int = REMEMBERED, kind: type[Encoder] = Encoder) -> Iterator[tuple]:
-    """Slices of the batches of a task, each with the ids of its column ``text``; the memory ends with the task."""
-    found = encoder(path, remembered, kind)
+    """Slices of the batches of a task, each with the ids of its column ``text``; the memory ends with the task.
+
+    Where little is remembered, slices are small as well.
+    """
+    found, limit = encoder(path, remembered, kind), min(SLICE, max(LEAST, remembered // SHARE))
     try:
         for batch in batches:
-            for part in wd.slices(batch):
+            for part in wd.slices(batch, limit=limit):
                 yield part, found.encode(part.column("text"))
     finally:
         found.forget()

@@ -207,6 +207,20 @@ def test_encoder_equals_library(kind):
             assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
 
 
+def test_slices_shrink_with_the_memory():
+    """Who remembers little looks at little text at once, with the same ids."""
+    texts = [" ".join(f"word{k}x{j}" for j in range(100)) for k in range(3000)] + [None, "", "z " * 200_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    found = {}
+    for remembered in (tokens.REMEMBERED, 4 << 20):
+        slices = list(tokens.encoded([batch], tokens.VOCABULARY, remembered))
+        found[remembered] = [x.tolist() for _, ids in slices for x in ids]
+        short = [sum(len(t or "") for t in part.column("text").to_pylist()) for part, _ in slices if part.num_rows > 1]
+        assert max(short) <= remembered // tokens.SHARE
+        assert sum(part.num_rows for part, _ in slices) == len(texts)
+    assert found[tokens.REMEMBERED] == found[4 << 20]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
 def test_ranks_of_another_file(name):
     import public_tokenizers
